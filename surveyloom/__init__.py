@@ -6,4 +6,12 @@ driver, and their size depends on the number of columns, clusters or classes,
 never on the number of rows.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers travel by value, so executors need no
+# copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
