@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from surveyloom.catalog.registry import table
 from surveyloom.config import (
@@ -39,9 +38,9 @@ def clean_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` with one double column per dimension."""
     e = table(spark, sf_dir, "embeddings")
-    return e.select(
-        "vec_id", F.col("label").cast("int").alias("label"),
-        *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(VEC)],
+    return e.selectExpr(
+        "vec_id", "cast(label as int) as label",
+        *[f"cast(embedding[{i}] as double) as {c}" for i, c in enumerate(VEC)],
     )
 
 

@@ -79,6 +79,11 @@ def dot(columns: Sequence[str], weights: Sequence[float]) -> str:
     return "(" + " + ".join(f"{ident(c)} * {literal(w)}" for c, w in zip(columns, weights)) + ")"
 
 
+def doubles(df: DataFrame, columns: Sequence[str], *, keep: Sequence[str] = ()) -> DataFrame:
+    """The ``keep`` columns as they are and the named columns as doubles."""
+    return df.selectExpr(*[ident(k) for k in keep], *[f"cast({ident(c)} as double) as {ident(c)}" for c in columns])
+
+
 def value_or_null(x: float | None) -> float | None:
     """NaN and None both become None."""
     return None if x is None or x != x else float(x)

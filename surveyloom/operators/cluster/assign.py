@@ -57,7 +57,7 @@ def nearest_centroid(
             x = np.column_stack([s.to_numpy(dtype="float64") for s in series])
             yield pd.Series(distances(x, points).argmin(axis=1).astype("int32"))
 
-    return df.withColumn(out, closest(*[quote(c).cast("double") for c in columns]))
+    return df.withColumn(out, closest(*[F.expr(f"cast({ident(c)} as double)") for c in columns]))
 
 
 def cluster_centres(df: DataFrame, columns: Sequence[str], cluster: str) -> list[tuple]:

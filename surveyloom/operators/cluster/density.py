@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import cut_lineage, ident, local_table, quote
+from surveyloom.functions import cut_lineage, doubles, ident, local_table
 from surveyloom.operators.cluster.assign import matrix
 from surveyloom.operators.sampling import sample_n
 
@@ -43,7 +43,7 @@ def dbscan_eps(
     task finds the neighbour distances of its own slice.
     """
     names = list(columns)
-    rows = sample_n(df.select(quote(key), *[quote(c).cast("double").alias(c) for c in names]), key, sample, seed=seed)
+    rows = sample_n(doubles(df, names, keep=[key]), key, sample, seed=seed)
     points = matrix(rows.toPandas(), names)
     if len(points) < neighbours:
         return floor
@@ -268,7 +268,9 @@ def dbscan(
     reach of several clusters joins the first of them.
     """
     names = [f"x{i}_" for i in range(len(columns))]
-    rows = df.select(quote(key).alias("key_"), *[quote(c).cast("double").alias(n) for c, n in zip(columns, names)])
+    rows = df.selectExpr(
+        f"{ident(key)} as key_", *[f"cast({ident(c)} as double) as {n}" for c, n in zip(columns, names)]
+    )
     points = cut_lineage(rows.groupBy(*names).agg(F.min("key_").alias("pid"), F.count("*").alias("w")))
     blocks = cut_lineage(_blocks(points, names, eps, block, seed, points.count()))
     core = cut_lineage(_neighbour_weights(blocks, names, eps).select("pid", (F.col("weight") >= min_points).alias("core")))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import quote
+from surveyloom.functions import doubles, ident
 from surveyloom.operators.cluster.assign import as_vectors, distances, matrix, nearest_centroid, spread
 from surveyloom.operators.cluster.partition import best_kmeans, centres_of
 
@@ -45,10 +45,10 @@ def _weighted_sums(df: DataFrame, columns: Sequence[str], centres: np.ndarray, f
 
     schema = "cluster int, weight double, " + ", ".join(f"{s} double" for s in sums)
     return (
-        df.select(*[quote(c).cast("double").alias(c) for c in names])
+        doubles(df, names)
         .mapInPandas(partial, schema)
         .groupBy("cluster")
-        .agg(F.sum("weight").alias("weight"), *[F.sum(s).alias(s) for s in sums])
+        .agg(F.sum("weight").alias("weight"), *[F.expr(f"sum({s}) as {s}") for s in sums])
     )
 
 
@@ -57,9 +57,7 @@ def fcm_membership_step(
 ) -> DataFrame:
     """One update of the centres: (cluster, weight, one column per feature)."""
     sums = _weighted_sums(df, columns, np.asarray(centres, dtype="float64"), fuzzifier)
-    return sums.select(
-        "cluster", "weight", *[(F.col(f"s{i}") / F.col("weight")).alias(c) for i, c in enumerate(columns)]
-    )
+    return sums.selectExpr("cluster", "weight", *[f"s{i} / weight as {ident(c)}" for i, c in enumerate(columns)])
 
 
 def membership_columns(
@@ -77,7 +75,7 @@ def membership_columns(
             yield out
 
     schema = f"`{key}` {df.schema[key].dataType.simpleString()}, " + ", ".join(f"u{j} double" for j in range(len(points)))
-    return df.select(quote(key), *[quote(c).cast("double").alias(c) for c in names]).mapInPandas(rows, schema)
+    return doubles(df, names, keep=[key]).mapInPandas(rows, schema)
 
 
 def fcm_centres(
@@ -91,7 +89,7 @@ def fcm_centres(
     seed: int = 42,
 ) -> np.ndarray:
     """Centres at convergence: largest centre shift below ``error``."""
-    data = spread(df.select(*[quote(x).cast("double").alias(x) for x in columns])).persist()
+    data = spread(doubles(df, columns)).persist()
     start = best_kmeans(as_vectors(data, columns), c, seed=seed, max_iter=1)
     centres = np.array(centres_of(start))
     for _ in range(max_iter):

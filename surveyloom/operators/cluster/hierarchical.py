@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import local_table, quote
+from surveyloom.functions import doubles, local_table
 from surveyloom.operators.cluster.assign import as_vectors, distances, spread
 from surveyloom.operators.cluster.partition import best_kmeans, centres_of
 
@@ -46,7 +46,7 @@ def agglomerative(
     Every row takes part: K-Means condenses the table to at most ``micro``
     weighted centres, whose merge tree is small whatever the table's size.
     """
-    rows = df.select(quote(key), *[quote(c).cast("double").alias(c) for c in columns])
+    rows = doubles(df, columns, keep=[key])
     few = rows.limit(micro + 1).collect()
     spark = df.sparkSession
     kind = df.schema[key].dataType.simpleString()

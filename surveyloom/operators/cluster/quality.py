@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import ident, local_table, quote, value_or_null
+from surveyloom.functions import doubles, ident, local_table, quote, value_or_null
 from surveyloom.operators.cluster.assign import as_vectors, cluster_centres, matrix
 from surveyloom.operators.sampling import sample_n
 
@@ -26,7 +26,7 @@ class SilhouetteSample:
 
     @classmethod
     def draw(cls, df: DataFrame, key: str, columns: Sequence[str], n: int, seed: int) -> SilhouetteSample:
-        rows = sample_n(df.select(quote(key), *[quote(c) for c in columns]), key, n, seed=seed)
+        rows = sample_n(doubles(df, columns, keep=[key]), key, n, seed=seed)
         points = rows.toPandas().sort_values(key).reset_index(drop=True)
         spark = df.sparkSession
         return cls(spark.createDataFrame(points, rows.schema), tuple(columns), points)
@@ -108,7 +108,7 @@ def silhouette(
 ) -> float | None:
     """Mean Euclidean silhouette over min(sample, rows) sampled rows."""
     labelled = df.where(quote(cluster).isNotNull())
-    drawn = sample_n(labelled.select(quote(key), quote(cluster), *[quote(c) for c in columns]), key, sample, seed=seed)
+    drawn = sample_n(doubles(labelled, columns, keep=[key, cluster]), key, sample, seed=seed)
     drawn = drawn.persist()
     try:
         return SilhouetteSample.draw(drawn, key, columns, sample, seed).score(drawn, key, cluster)

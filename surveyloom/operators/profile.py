@@ -148,7 +148,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Rows with a null are skipped; the p×p matrix is the only thing collected.
     """
     vectors = VectorAssembler(inputCols=list(columns), outputCol="v_", handleInvalid="skip").transform(
-        df.select(*[quote(c) for c in columns])
+        df.selectExpr(*[ident(c) for c in columns])
     )
     matrix = Correlation.corr(vectors, "v_").first()[0].toArray()
     rows = [
