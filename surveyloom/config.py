@@ -52,7 +52,8 @@ class SurveyConfig:
     min_eps: float = 0.5
     micro_clusters: int = 500
     n_trees: int = 100
-    max_depth: int = 30
+    max_depth: int = 30  # one tree: the deepest Spark grows
+    forest_depth: int = 12  # each of many trees; levels cost a pass over all rows
     boosting_rounds: int = 100
     rbf_features: int = 256
     num_kernels: int = 3

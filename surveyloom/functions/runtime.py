@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,6 +30,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def in_parallel(spark: SparkSession, tasks: Sequence[Callable], *, width: int = 8) -> list:
+    """Run independent fits side by side, so small iterative jobs overlap."""
+    with ThreadPool(min(width, max(len(tasks), 1))) as pool:
+        return pool.map(lambda task: task(), [inheritable_thread_target(spark)(t) for t in tasks])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder."""
     ensure_checkpoint_dir(spark)

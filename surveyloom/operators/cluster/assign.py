@@ -16,12 +16,23 @@ from surveyloom.functions import ident, quote, sq_dist
 # the JIT, and vectorised batches are faster.
 MAX_SQL_TERMS = 200
 MAX_CLUSTERS = 10_000
+ROWS_PER_TASK = 16_000
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core: a single small file arrives as one."""
+    """A layout for repeated passes, for tables too small to fill the cores.
+
+    One small file arrives as one partition, which idles cores on 10⁵ rows; and a
+    few thousand rows on every core cost more in task starts than in work.  A
+    table with enough rows for every core keeps its own partitions.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    rows = df.limit(cores * ROWS_PER_TASK).count()
+    wanted = -(-rows // ROWS_PER_TASK)
+    parts = df.rdd.getNumPartitions()
+    if wanted < cores:
+        return df.coalesce(max(wanted, 1)) if wanted <= parts else df.repartition(wanted)
+    return df.repartition(cores) if parts < cores else df
 
 
 def as_vectors(df: DataFrame, columns: Sequence[str], *, keep: Sequence[str] = (), out: str = "features") -> DataFrame:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import doubles, ident
+from surveyloom.functions import cut_lineage, doubles, ident
 from surveyloom.operators.cluster.assign import as_vectors, distances, matrix, nearest_centroid, spread
 from surveyloom.operators.cluster.partition import best_kmeans, centres_of
 
@@ -89,7 +89,7 @@ def fcm_centres(
     seed: int = 42,
 ) -> np.ndarray:
     """Centres at convergence: largest centre shift below ``error``."""
-    data = spread(doubles(df, columns)).persist()
+    data = spread(cut_lineage(doubles(df, columns))).persist()
     start = best_kmeans(as_vectors(data, columns), c, seed=seed, max_iter=1)
     centres = np.array(centres_of(start))
     for _ in range(max_iter):

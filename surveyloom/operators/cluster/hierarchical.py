@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import doubles, local_table
-from surveyloom.operators.cluster.assign import as_vectors, distances, spread
-from surveyloom.operators.cluster.partition import best_kmeans, centres_of
+from surveyloom.functions import cut_lineage, doubles, local_table
+from surveyloom.operators.cluster.assign import as_vectors, distances
+from surveyloom.operators.cluster.partition import best_kmeans
 
 MICRO_CLUSTERS = 500
 
@@ -54,10 +55,11 @@ def agglomerative(
         few.sort(key=lambda r: r[0])
         labels = ward_merge(np.array([r[1:] for r in few], dtype="float64"), np.ones(len(few)), k)
         return local_table(spark, [(r[0], int(c)) for r, c in zip(few, labels)], f"`{key}` {kind}, cluster int")
-    vectors = as_vectors(spread(rows), columns, keep=[key]).persist()
+    vectors = cut_lineage(as_vectors(rows, columns, keep=[key]))
     model = best_kmeans(vectors, micro, seed=seed, max_iter=10, start="random")
-    labels = ward_merge(np.array(centres_of(model)), np.array(model.summary.clusterSizes).clip(min=1), k)
-    vectors.unpersist()
-    merged = local_table(spark, [(i, int(c)) for i, c in enumerate(labels)], "micro int, cluster int")
-    assigned = model.transform(as_vectors(rows, columns, keep=[key])).select(key, F.col("cluster").alias("micro"))
+    assigned = model.transform(vectors).withColumnRenamed("cluster", "micro")
+    found = assigned.groupBy("micro").agg(F.count("*").alias("n"), Summarizer.mean(F.col("features")).alias("m")).collect()
+    found.sort(key=lambda r: r["micro"])
+    labels = ward_merge(np.array([r["m"].toArray() for r in found]), np.array([r["n"] for r in found]), k)
+    merged = local_table(spark, [(r["micro"], int(c)) for r, c in zip(found, labels)], "micro int, cluster int")
     return assigned.join(F.broadcast(merged), "micro").select(key, "cluster")

@@ -9,7 +9,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveyloom.functions import ident, local_table
+from surveyloom.functions import cut_lineage, ident, in_parallel, local_table
 from surveyloom.operators.cluster.assign import as_vectors, cluster_centres, distances, spread
 from surveyloom.operators.cluster.quality import SilhouetteSample
 
@@ -18,13 +18,14 @@ def best_kmeans(
     vectors: DataFrame, k: int, *, restarts: int = 1, seed: int = 42, max_iter: int = 300, start: str = "k-means||"
 ) -> KMeansModel:
     """The cheapest of ``restarts`` fits."""
-    fits = [
+    estimators = [
         KMeans(
             k=k, seed=seed + r, maxIter=max_iter, tol=1e-4, initMode=start,
             featuresCol="features", predictionCol="cluster",
-        ).fit(vectors)
+        )
         for r in range(restarts)
     ]
+    fits = in_parallel(vectors.sparkSession, [lambda e=e: e.fit(vectors) for e in estimators])
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
@@ -44,11 +45,13 @@ def kmeans_sweep(
     A larger k starting badly can cost more than a smaller one; the cheapest of
     the restarts is kept, as with repeated starts elsewhere.
     """
-    vectors = as_vectors(spread(df), columns, keep=[key]).persist()
+    # Spark ML caches its own compact copy; the checkpoint spares it the lineage.
+    vectors = spread(cut_lineage(as_vectors(df, columns, keep=[key])))
     sample = SilhouetteSample.draw(df, key, columns, silhouette_rows, seed)
     points = sample.matrix()
-    models = {k: best_kmeans(vectors, k, restarts=restarts, seed=seed) for k in range(k_min, k_max + 1)}
-    vectors.unpersist()
+    ks = range(k_min, k_max + 1)
+    fits = in_parallel(df.sparkSession, [lambda k=k: best_kmeans(vectors, k, restarts=restarts, seed=seed) for k in ks])
+    models = dict(zip(ks, fits))
     scores = sample.scores({k: distances(points, np.array(centres_of(m))).argmin(axis=1) for k, m in models.items()})
     rows = [(k, float(m.summary.trainingCost), scores[k]) for k, m in models.items()]
     return local_table(df.sparkSession, rows, "k int, inertia double, silhouette double"), models

@@ -118,6 +118,12 @@ def _mapped(df: DataFrame, columns: Sequence[str], udf, keep: Sequence[str]) ->
     return df.select(*[quote(k) for k in keep], array_to_vector(udf(*inputs)).alias("features"))
 
 
+def _for_trees(train: DataFrame) -> DataFrame:
+    """Deep trees find their splits per partition, so give every core one."""
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(cores) if train.rdd.getNumPartitions() < cores else train
+
+
 # ── regressors ──────────────────────────────────────────────────────────────
 
 def fit_linear_regression(train: DataFrame, target: str, config: SurveyConfig = SurveyConfig()) -> Transformer:
@@ -126,14 +132,14 @@ def fit_linear_regression(train: DataFrame, target: str, config: SurveyConfig =
 
 
 def fit_decision_tree_reg(train: DataFrame, target: str, config: SurveyConfig = SurveyConfig()) -> Transformer:
-    return DecisionTreeRegressor(labelCol=target, maxDepth=config.max_depth, maxBins=MAX_BINS, seed=config.seed).fit(train)
+    return DecisionTreeRegressor(labelCol=target, maxDepth=config.max_depth, maxBins=MAX_BINS, seed=config.seed).fit(_for_trees(train))
 
 
 def fit_random_forest_reg(train: DataFrame, target: str, config: SurveyConfig = SurveyConfig()) -> Transformer:
     return RandomForestRegressor(
-        labelCol=target, numTrees=config.n_trees, featureSubsetStrategy="all", maxDepth=config.max_depth,
-        maxBins=MAX_BINS, maxMemoryInMB=1024, seed=config.seed,
-    ).fit(train)
+        labelCol=target, numTrees=config.n_trees, featureSubsetStrategy="all", maxDepth=config.forest_depth,
+        maxBins=MAX_BINS, seed=config.seed,
+    ).fit(_for_trees(train))
 
 
 def fit_gradient_boosting_reg(train: DataFrame, target: str, config: SurveyConfig = SurveyConfig()) -> Transformer:
@@ -163,14 +169,14 @@ def fit_logistic_regression(train: DataFrame, config: SurveyConfig = SurveyConfi
 def fit_decision_tree_clf(train: DataFrame, config: SurveyConfig = SurveyConfig()) -> Transformer:
     return DecisionTreeClassifier(
         labelCol="y_index", weightCol="weight", impurity="gini", maxDepth=config.max_depth, maxBins=MAX_BINS, seed=config.seed
-    ).fit(train)
+    ).fit(_for_trees(train))
 
 
 def fit_random_forest_clf(train: DataFrame, config: SurveyConfig = SurveyConfig()) -> Transformer:
     return RandomForestClassifier(
         labelCol="y_index", weightCol="weight", numTrees=config.n_trees, featureSubsetStrategy="sqrt",
-        maxDepth=config.max_depth, maxBins=MAX_BINS, maxMemoryInMB=1024, seed=config.seed,
-    ).fit(train)
+        maxDepth=config.forest_depth, maxBins=MAX_BINS, seed=config.seed,
+    ).fit(_for_trees(train))
 
 
 def fit_gradient_boosting_clf(train: DataFrame, config: SurveyConfig = SurveyConfig()) -> Transformer:
@@ -178,13 +184,13 @@ def fit_gradient_boosting_clf(train: DataFrame, config: SurveyConfig = SurveyCon
     booster = GBTClassifier(
         maxIter=config.boosting_rounds, stepSize=0.1, maxDepth=3, maxBins=MAX_BINS, seed=config.seed
     )
-    return OneVsRest(classifier=booster, labelCol="y_index", parallelism=4).fit(train)
+    return OneVsRest(classifier=booster, labelCol="y_index", parallelism=8).fit(train)
 
 
 def fit_svm(train: DataFrame, config: SurveyConfig = SurveyConfig(), *, balanced: bool = True) -> Transformer:
     """One-vs-rest linear SVM with C = 1 on whatever feature map ``train`` holds."""
     svc = LinearSVC(regParam=1.0 / max(train.count(), 1), standardization=False, maxIter=100)
-    ovr = OneVsRest(classifier=svc, labelCol="y_index", parallelism=4)
+    ovr = OneVsRest(classifier=svc, labelCol="y_index", parallelism=8)
     return (ovr.setWeightCol("weight") if balanced else ovr).fit(train)
 
 

@@ -179,7 +179,7 @@ def histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     table = local_table(spark, edges, "column string, bin int, low double, width double")
     ranges = table.where("bin = 0").select("column", "low", "width")
     binned = (
-        unpivot(df, list(bins), as_type="double")
+        unpivot(df, columns)
         .where("value is not null")
         .join(F.broadcast(ranges), "column")
         .groupBy("column", F.expr(f"cast(least(floor((value - low) / width), {k - 1}) as int)").alias("bin"))

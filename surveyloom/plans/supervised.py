@@ -46,12 +46,12 @@ def prepare(df: DataFrame, config: SurveyConfig = SurveyConfig(), *, label: str
     label = label or config.label
     skip = {config.target, config.label, config.category, config.key}
     columns = numeric_columns(df, skip)
-    chosen = df.selectExpr(
-        ident(config.key), ident(config.target), ident(label), *[ident(c) for c in columns]
+    chosen = cut_lineage(
+        df.selectExpr(ident(config.key), ident(config.target), ident(label), *[ident(c) for c in columns])
     )
     parts = stratified_split(chosen, label, config.key, seed=config.seed).withColumn("split", F.expr(SPLIT_NAMES))
     scaling = fit_standard(parts.where("split = 'Train'"), columns)
-    table = cut_lineage(spread(scaling.apply(parts)))
+    table = spread(cut_lineage(scaling.apply(parts)))
     present = {c for c, _ in class_counts(table.where("split = 'Train'"), label)}
     classes = tuple(c for c in config.ordered_labels if c in present)
     return Prepared(table, tuple(columns), classes, config.key, config.target, label)

@@ -15,8 +15,8 @@ def cluster_all(df: DataFrame, config: SurveyConfig = SurveyConfig()) -> tuple[D
     """(key + one cluster column per method, summaries, the sweep over k)."""
     key = config.key
     columns = numeric_columns(df, [key, config.target, config.category])
-    scaled = cut_lineage(
-        cluster.spread(features.standard_scale(df.selectExpr(ident(key), *[ident(c) for c in columns]), columns))
+    scaled = cluster.spread(
+        cut_lineage(features.standard_scale(df.selectExpr(ident(key), *[ident(c) for c in columns]), columns))
     )
     sweep, fits = cluster.kmeans_sweep(
         scaled, key, columns, k_min=config.k_min, k_max=config.k_max, restarts=config.kmeans_restarts,
