@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.config import MODEL_METRICS, SurveyConfig
-from surveyloom.functions import cut_lineage, ident, local_table, numeric_columns
+from surveyloom.functions import cut_lineage, ident, in_parallel, local_table, numeric_columns
 from surveyloom.operators import evaluate, kernels as K, models
 from surveyloom.operators.cluster.assign import as_vectors, spread
 from surveyloom.operators.features import class_counts, dominant_class, fit_standard
@@ -61,10 +61,12 @@ def regression_predictions(p: Prepared, config: SurveyConfig = SurveyConfig(), n
     """(model, split, key, y, prediction) of the held-out rows for each regressor."""
     train = as_vectors(p.train, p.columns, keep=[p.key, p.target]).persist()
     held_out = as_vectors(p.held_out, p.columns, keep=[p.key, p.target, "split"])
-    tables = [
-        models.predict(models.REGRESSORS[name](train, p.target, config), held_out, name, key=p.key, split="split", y=p.target)
-        for name in names or models.REGRESSORS
-    ]
+
+    def run(name: str) -> DataFrame:
+        model = models.REGRESSORS[name](train, p.target, config)
+        return models.predict(model, held_out, name, key=p.key, split="split", y=p.target)
+
+    tables = _side_by_side(p, run, list(names or models.REGRESSORS))
     train.unpersist()
     return _union(tables)
 
@@ -73,8 +75,8 @@ def classification_predictions(p: Prepared, config: SurveyConfig = SurveyConfig(
     """Held-out predictions of each classifier, the three SVM maps included; no row cap."""
     wanted = list(names or [*models.CLASSIFIERS, "SVM_Polynomial", "SVM_RBF"])
     labelled = models.index_labels(models.balanced_weights(p.train, p.label), p.label, p.classes)
-    tables = []
-    for name in wanted:
+
+    def run(name: str) -> DataFrame:
         if name == "SVM_Polynomial":
             gamma = models.gamma_scale(p.train, p.columns)
             mapped = lambda t, keep: models.cubic_map(t, p.columns, gamma, keep=keep)
@@ -85,9 +87,11 @@ def classification_predictions(p: Prepared, config: SurveyConfig = SurveyConfig(
             mapped = lambda t, keep: as_vectors(t, p.columns, keep=keep)
         train = mapped(labelled, ["y_index", "weight"]).persist()
         fit = models.CLASSIFIERS.get(name, models.fit_svm)
-        tables.append(_held_out_predictions(fit(train, config), mapped, p, name))
+        table = _held_out_predictions(fit(train, config), mapped, p, name)
         train.unpersist()
-    return _union(tables)
+        return table
+
+    return _union(_side_by_side(p, run, wanted))
 
 
 def _held_out_predictions(model, mapped, p: Prepared, name: str) -> DataFrame:
@@ -95,6 +99,11 @@ def _held_out_predictions(model, mapped, p: Prepared, name: str) -> DataFrame:
     return models.predict(model, held_out, name, key=p.key, split="split", y=p.label, classes=p.classes)
 
 
+def _side_by_side(p: Prepared, run, names: list[str]) -> list[DataFrame]:
+    """Fit independent models at the same time: their many small jobs overlap."""
+    return in_parallel(p.table.sparkSession, [lambda n=n: run(n) for n in names], width=4)
+
+
 def _union(tables: list[DataFrame]) -> DataFrame:
     result = tables[0]
     for t in tables[1:]:
@@ -131,13 +140,17 @@ def weigh_kernels(p: Prepared, config: SurveyConfig = SurveyConfig()) -> KernelS
 def mkl_predictions(p: Prepared, study: KernelStudy, config: SurveyConfig = SurveyConfig()) -> DataFrame:
     """Held-out predictions of the SVM on the natural and the anti combination."""
     labelled = models.index_labels(p.train, p.label, p.classes)
-    tables = []
-    for name, weights in (("SVM_MKL_Natural", study.natural), ("SVM_MKL_AntiNatural", study.anti)):
+    variants = {"SVM_MKL_Natural": study.natural, "SVM_MKL_AntiNatural": study.anti}
+
+    def run(name: str) -> DataFrame:
+        weights = variants[name]
         mapped = lambda t, keep, w=weights: K.combined_kernel(t, study.kernels, w, keep=keep)
         train = mapped(labelled, ["y_index"]).persist()
-        tables.append(_held_out_predictions(models.fit_svm(train, config, balanced=False), mapped, p, name))
+        table = _held_out_predictions(models.fit_svm(train, config, balanced=False), mapped, p, name)
         train.unpersist()
-    return _union(tables)
+        return table
+
+    return _union(_side_by_side(p, run, list(variants)))
 
 
 def mkl_report(spark, study: KernelStudy, config: SurveyConfig = SurveyConfig()) -> DataFrame:
