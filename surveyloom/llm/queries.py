@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import decontaminate, lines, pieces, simhash, toxicity
+from surveyloom.functions import scratch_path
+from surveyloom.llm import decontaminate, lines, pieces, simhash, token_files, toxicity
 from surveyloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +81,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_links")
+
+
+@query("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path
+    )
+    return token_files.read_token_files(spark, path)
