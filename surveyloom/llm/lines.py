@@ -19,8 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import quote
-from surveyloom.llm.common import BLANKS, texts_of
+from surveyloom.functions import cut_lineage, quote
+from surveyloom.llm.common import BLANKS
 
 
 def line_hash(line: bytes, min_chars: int) -> bytes | None:
@@ -72,6 +72,8 @@ def dedup_lines(
         .where(F.col("n") >= min_docs)
         .select("h", "keeper")
     )
+    # Written out, so that the join shuffles both sides itself and can split the pairs of a very common line.
+    frequent = cut_lineage(frequent)
     lost = (
         pairs.join(frequent, "h").where("doc_id < keeper").groupBy("doc_id").agg(F.collect_set("h").alias("lost"))
     )
