@@ -31,11 +31,11 @@ from surveyloom.functions import quote
 #: The coder's format: states stay in [2^31, 2^63), frequencies add up to 2^18.
 LOW, SCALE_BITS = np.uint64(1 << 31), 18
 LANES, BLOCK, SPACING = 32, 1 << 16, 512
-#: Ids after which a shard is closed; about 6 MB coded.
-SHARD_IDS = 4_000_000
+#: Ids after which a shard is closed; about 3 MB coded.
+SHARD_IDS = 2_000_000
 SHARDS_PER_FILE = 8
 #: Distinct chunks of text a task remembers before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -140,8 +140,9 @@ def decode_shard(shard: dict, *, lanes: int = LANES, block: int = BLOCK, spacing
     return ids
 
 
-#: Words with the blank before them, and line ends.
-CHUNK = re.compile(r" ?\S+|\n")
+#: Words with the blank before them, full stops and commas after a word, other runs, line ends. The tokenizer
+#: cuts at each of these places: between letters or digits and anything else, before a blank, around a line end.
+CHUNK = re.compile(r" ?[^\W_]+|[.,]+(?!\S)| ?\S+|\n")
 
 
 class Chunks(dict):
