@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.functions import scratch_path
-from surveyloom.llm import decontaminate, lines, pieces, simhash, token_files, toxicity
+from surveyloom.llm import decontaminate, interpolation, lines, pieces, simhash, token_files, toxicity
 from surveyloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path
     )
     return token_files.read_token_files(spark, path)
+
+
+@query("op3_interpolated_lm")
+def op3_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score_documents(table(spark, sf_dir, "documents"))
