@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.functions import scratch_path
-from surveyloom.llm import decontaminate, interpolation, lines, pieces, simhash, token_files, toxicity
+from surveyloom.llm import decontaminate, interpolation, licences, lines, personal_data, pieces, simhash, token_files, toxicity
 from surveyloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_interpolated_lm")
 def op3_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op6_personal_data")
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query("op9_licences")
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
