@@ -82,7 +82,7 @@ def labelled_table() -> list[tuple[list[str], list[int]]]:
     number = lambda *sizes: ["".join(map(str, rng.integers(0, 10, n))) for n in sizes]
     word = lambda: "".join(rng.choice(list("abcdefghiklmnoprstuv"), rng.integers(1, 9)))
     rows = []
-    for i in range(600):
+    for i in range(360):
         make = i % 12
         n = number(3, 3, 4, 4, 4, 4, 2, 5)
         span = {
@@ -108,7 +108,7 @@ def labelled_table() -> list[tuple[list[str], list[int]]]:
 class ShapeField:
     """Weights of the field: emissions by shape of the word, its left and right neighbour; transitions."""
 
-    def __init__(self, table: Sequence[tuple[Sequence[str], Sequence[int]]], *, steps: int = 80, rate: float = 0.5, decay: float = 1e-3):
+    def __init__(self, table: Sequence[tuple[Sequence[str], Sequence[int]]], *, steps: int = 40, rate: float = 0.5, decay: float = 1e-3):
         shapes = sorted({shape(w) for words, _ in table for w in words})
         self.number = {s: i + 2 for i, s in enumerate(shapes)}  # 0: no word there, 1: a shape not seen
         self.labels = 1 + len(KINDS)

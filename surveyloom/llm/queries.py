@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.functions import scratch_path
-from surveyloom.llm import decontaminate, interpolation, licences, lines, personal_data, pieces, simhash, token_files, toxicity
+from surveyloom.llm import decontaminate, interpolation, licences, lines, neighbours, personal_data, pieces, simhash, token_files, toxicity
 from surveyloom.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_licences")
 def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
+@query("op5_nn_descent")
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))

@@ -11,7 +11,7 @@ from surveyloom.llm import personal_data as P
 
 @pytest.fixture(scope="module")
 def field():
-    return P.ShapeField(P.labelled_table(), steps=60)
+    return P.ShapeField(P.labelled_table())
 
 
 def test_viterbi_equals_every_path(field):
@@ -27,9 +27,9 @@ def test_viterbi_equals_every_path(field):
 
 def test_held_out_accuracy():
     table = P.labelled_table()
-    field = P.ShapeField(table[:400], steps=60)
+    field = P.ShapeField(table[:240])
     right = total = 0
-    for words, y in table[400:]:
+    for words, y in table[240:]:
         ids = np.array([field.number.get(P.shape(w), 1) for w in words])
         right += (field.decode([ids])[0] == y).sum()
         total += len(y)
