@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -111,7 +112,7 @@ class ShapeField:
     def __init__(self, table: Sequence[tuple[Sequence[str], Sequence[int]]], *, steps: int = 40, rate: float = 0.5, decay: float = 1e-3):
         shapes = sorted({shape(w) for words, _ in table for w in words})
         self.number = {s: i + 2 for i, s in enumerate(shapes)}  # 0: no word there, 1: a shape not seen
-        self.labels = 1 + len(KINDS)
+        self.labels, self.known = 1 + len(KINDS), {}
         n, m = len(shapes) + 2, self.labels
         self.own, self.left, self.right = (np.zeros((n, m)) for _ in range(3))
         self.step, self.first = np.zeros((m, m)), np.zeros(m)
@@ -174,6 +175,25 @@ class ShapeField:
                     out[i] = row
         return out
 
+    def decode_lines(self, ids: np.ndarray, lengths: list[int]) -> list[np.ndarray | None]:
+        """The labels of consecutive lines; None where all words are plain.
+
+        Lines of letters alone have equal labels if they are equally long, so
+        one of each length is decoded.
+        """
+        plain = self.number.get("a", 1)
+        ends = np.cumsum(lengths)
+        odd = np.append(0, np.cumsum(ids != plain))
+        first = ends - lengths
+        letters = odd[ends] == odd[first]
+        sizes = sorted({n for n, x in zip(lengths, letters.tolist()) if x} - self.known.keys())
+        self.known.update((n, x if x.any() else None) for n, x in zip(sizes, self.decode([np.full(n, plain) for n in sizes])))
+        out: list[np.ndarray | None] = [self.known[n] if x else None for n, x in zip(lengths, letters.tolist())]
+        rest = np.flatnonzero(~letters).tolist()
+        for i, labels in zip(rest, self.decode([ids[first[i] : ends[i]] for i in rest])):
+            out[i] = labels if labels.any() else None
+        return out
+
     def viterbi(self, ids: np.ndarray) -> np.ndarray:
         e = np.ascontiguousarray(self.emissions(ids).transpose(1, 2, 0))  # (words, labels, lines)
         steps, m, lanes = e.shape
@@ -244,8 +264,10 @@ def find_personal_data(
             counts, digests, shown, added = [[] for _ in KINDS], [], [], []
             for k in range(0, len(bodies), 1000):
                 some = bodies[k : k + 1000]
-                split = [[np.fromiter(map(shapes.__getitem__, w := line.split()), np.int64, len(w)) for line in x.split(b"\n")] for x in some]
-                labels = iter(model.decode([line for lines in split for line in lines]))
+                split = [[line.split() for line in x.split(b"\n")] for x in some]
+                lengths = [len(line) for lines in split for line in lines]
+                words = chain.from_iterable(line for lines in split for line in lines)
+                labels = iter(model.decode_lines(np.fromiter(map(shapes.__getitem__, words), np.int64, sum(lengths)), lengths))
                 if len(shapes) > 500_000:
                     shapes.clear()
                 for body, lines in zip(some, split):
@@ -253,10 +275,10 @@ def find_personal_data(
                     text = body.decode()
                     base = base_spans(text)
                     more = []
-                    if any(x.any() for x in own):
+                    if any(x is not None for x in own):
                         at = 0
                         for line, x in zip(text.split("\n"), own):
-                            if x.any():
+                            if x is not None:
                                 more += added_spans(line, at, x, base)
                             at += len(line) + 1
                     for kind, c in enumerate(counts):

@@ -71,3 +71,12 @@ def test_rows(make, corpus, field):
 
 def test_empty(make, field):
     assert P.find_personal_data(make([]), field).isEmpty()
+
+
+def test_lines_equal_one_by_one(field):
+    rng = np.random.default_rng(5)
+    lines = [rng.choice([field.number["a"], *range(1, 9)], rng.integers(0, 9), p=[0.84, *[0.02] * 8]) for _ in range(300)]
+    got = field.decode_lines(np.concatenate(lines).astype(np.int64), [len(x) for x in lines])
+    for x, y in zip(lines, got):
+        want = field.decode([x.astype(np.int64)])[0]
+        assert np.array_equal(want, y) if y is not None else not want.any()
