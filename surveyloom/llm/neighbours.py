@@ -30,6 +30,8 @@ from surveyloom.functions import cut_lineage, quote
 DEGREE, GATHERED, SENT = 20, 36, 8
 #: Points of a starting cell that are compared, and starting partitions.
 CELL, TRIALS = 96, 4
+#: Nodes or queries whose work goes to Python in one group.
+SLOT = 64
 
 
 def top(df: DataFrame, by: str, k: int, *order) -> DataFrame:
@@ -80,22 +82,27 @@ def starting_lists(points: DataFrame, n: int, dims: int, seed: int) -> DataFrame
     dealt = placed.join(sizes, "cell").withColumn("part", F.expr("pmod(xxhash64(node), parts)"))
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pairs_of(pdf["node"].to_numpy(), matrix(pdf["q"]), DEGREE // 2)
+        found = best_pairs(pdf["node"].to_numpy(), matrix(pdf["q"]), DEGREE // 2)
+        return pd.DataFrame(dict(zip(("node", "nbr", "s"), found)))
 
     return dealt.groupBy("cell", "part").applyInPandas(best, "node long, nbr long, s float")
 
 
-def pairs_of(ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
-    """For each row its ``k`` best other rows; row blocks keep the table of products small."""
-    out = []
+def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal keys together, and the edges of their runs."""
+    order = np.argsort(keys, kind="stable")
+    return order, np.append(np.flatnonzero(np.diff(keys[order], prepend=keys[order[0]] - 1)), len(keys))
+
+
+def best_pairs(ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, nbr, s): for each row its ``k`` best other rows. Callers bound the number of rows."""
     k = min(k, len(ids) - 1)
-    for at in range(0, len(ids) if k > 0 else 0, 512):
-        s = x[at : at + 512] @ x.T
-        rows = np.arange(at, min(at + 512, len(ids)))
-        s[rows - at, rows] = -np.inf
-        near = np.argpartition(-s, k - 1, axis=1)[:, :k]
-        out.append(pd.DataFrame({"node": np.repeat(ids[rows], k), "nbr": ids[near].ravel(), "s": np.take_along_axis(s, near, 1).ravel()}))
-    return pd.concat(out) if out else pd.DataFrame({"node": [], "nbr": [], "s": []})
+    if k < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    near = np.argpartition(-s, k - 1, axis=1)[:, :k]
+    return np.repeat(ids, k), ids[near].ravel(), np.take_along_axis(s, near, 1).ravel()
 
 
 def nn_descent(points: DataFrame, n: int, dims: int, *, rounds: int = 5, settled: float = 0.02, seed: int = 42) -> DataFrame:
@@ -105,7 +112,12 @@ def nn_descent(points: DataFrame, n: int, dims: int, *, rounds: int = 5, settled
     before = graph.agg(F.count("*"), F.sum("s")).first()
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pairs_of(pdf["member"].to_numpy(), matrix(pdf["q"]), SENT)
+        order, edges = runs(pdf["centre"].to_numpy())
+        ids, x = pdf["member"].to_numpy()[order], matrix(pdf["q"])[order]
+        found = [best_pairs(ids[a:b], x[a:b], SENT) for a, b in zip(edges, edges[1:])]
+        return pd.DataFrame(dict(zip(("node", "nbr", "s"), map(np.concatenate, zip(*found)))))
+
+    slots = max(1, n // SLOT)
 
     for _ in range(rounds):
         both = graph.select(F.col("node").alias("centre"), F.col("nbr").alias("member"), "s").unionAll(
@@ -113,7 +125,7 @@ def nn_descent(points: DataFrame, n: int, dims: int, *, rounds: int = 5, settled
         )
         gathered = top(both.groupBy("centre", "member").agg(F.max("s").alias("s")), "centre", GATHERED, F.desc("s"), "member")
         gathered = gathered.select("centre", "member").join(points.withColumnRenamed("node", "member"), "member")
-        found = gathered.groupBy("centre").applyInPandas(compare, "node long, nbr long, s float")
+        found = gathered.groupBy(F.expr(f"pmod(xxhash64(centre), {slots})")).applyInPandas(compare, "node long, nbr long, s float")
         graph = cut_lineage(top(graph.unionByName(found).groupBy("node", "nbr").agg(F.max("s").alias("s")), "node", DEGREE, *order))
         after = graph.agg(F.count("*"), F.sum("s")).first()
         # The sums of all lists have all but stopped to rise.
@@ -123,7 +135,7 @@ def nn_descent(points: DataFrame, n: int, dims: int, *, rounds: int = 5, settled
     return graph
 
 
-def graph_search(graph: DataFrame, points: DataFrame, queries: DataFrame, seeds: list[int], *, keep: int, hops: int, wide: int) -> DataFrame:
+def graph_search(graph: DataFrame, points: DataFrame, queries: DataFrame, seeds: list[int], *, slots: int, keep: int, hops: int, wide: int) -> DataFrame:
     """(query, node): the ``keep`` best nodes of each query that greedy search meets.
 
     ``queries`` has (query, node, qq): the query's own node and its rounded vector.
@@ -132,13 +144,16 @@ def graph_search(graph: DataFrame, points: DataFrame, queries: DataFrame, seeds:
     def score(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query": [], "node": [], "s": []})
-        s = matrix(right["q"]) @ matrix(left["qq"].iloc[:1])[0]
+        left = left.sort_values("by")
+        asked = matrix(left["qq"])[np.searchsorted(left["by"].to_numpy(), right["asker"].to_numpy())]
+        s = np.einsum("ij,ij->i", matrix(right["q"]), asked)
         return pd.DataFrame({"query": right["asker"], "node": right["node"], "s": s})
 
     def scored(candidates: DataFrame) -> DataFrame:
         with_points = candidates.selectExpr("query as asker", "node").join(points, "node")
         own = queries.select(F.col("query").alias("by"), "qq")
-        return own.groupBy("by").cogroup(with_points.groupBy("asker")).applyInPandas(
+        slot = lambda c: F.expr(f"pmod(xxhash64({c}), {slots})")  # noqa: E731  queries of a slot go to Python together
+        return own.groupBy(slot("by")).cogroup(with_points.groupBy(slot("asker"))).applyInPandas(
             score, "query long, node long, s float"
         )
 
@@ -196,7 +211,7 @@ def nearest(
     # Copies ask once.
     wanted = ids.join(asked.select("node").distinct(), "node").select("node", "v").mapInArrow(as_query, "node long, qq binary")
     queries = cut_lineage(wanted.withColumn("query", F.col("node")))
-    reached = graph_search(graph, points, queries, seeds, keep=keep, hops=hops, wide=wide)
+    reached = graph_search(graph, points, queries, seeds, slots=max(1, n // (every * SLOT)), keep=keep, hops=hops, wide=wide)
     few = top(member, "node", k + 1, "vec_id")  # of a node's copies the k + 1 smallest ids can be an answer
     exact = (
         reached.join(ids.select("node", "v"), "node")
