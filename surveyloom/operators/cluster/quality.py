@@ -166,18 +166,19 @@ def cluster_summary(
     Scores are None with fewer than two clusters; with a noise label they cover
     the other rows and need more of those than clusters.
     """
-    sizes = dict(df.groupBy(quote(cluster)).count().limit(MAX_SUMMARY + 1).collect())
-    n_noise = sizes.pop(noise, 0) if noise is not None else 0
-    report: dict = {"N_Clusters": len(sizes)}
+    is_noise = F.col("label_").eqNullSafe(F.lit(noise)) if noise is not None else F.lit(False)
+    sizes = df.groupBy(quote(cluster).alias("label_")).agg(F.count("*").alias("n_"))
+    n_clusters, n_rows, n_noise = sizes.agg(
+        F.count_if(~is_noise), F.sum(F.when(~is_noise, F.col("n_"))), F.sum(F.when(is_noise, F.col("n_")))
+    ).first()
+    n_rows, n_noise = n_rows or 0, n_noise or 0
+    report: dict = {"N_Clusters": n_clusters}
     if noise is not None:
         report["N_Noise"] = n_noise
     rows = df.where(quote(cluster) != F.lit(noise)) if noise is not None else df
-    scored = len(sizes) >= 2 and (noise is None or sum(sizes.values()) > len(sizes))
+    scored = n_clusters >= 2 and (noise is None or n_rows > n_clusters)
     sil = silhouette(rows, key, columns, cluster, sample=sample, seed=seed) if scored else None
     db = davies_bouldin(rows, columns, cluster) if scored else None
     report["Silhouette"] = None if sil is None else round(sil, 4)
     report["Davies_Bouldin"] = None if db is None else round(db, 4)
     return report
-
-
-MAX_SUMMARY = 1_000_000
