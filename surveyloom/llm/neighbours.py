@@ -4,8 +4,9 @@ Equal vectors are one node, so copies cannot crowd a neighbour list. Vectors are
 scaled to the unit sphere of one dimension more, where the largest inner product
 with a query is the nearest point. The graph starts from lists made within
 random half-space cells; each round, every node gathers the vectors of its
-neighbours and reverse neighbours in one join, compares them with each other and
-sends each the best of the rest. Rounds end when few lists change.
+neighbours and reverse neighbours in one join, compares those that have not met
+there before, and sends each the best that can enter its list. Rounds end when
+the lists have all but stopped to improve.
 
 A query starts from its own node's list and some fixed nodes, and expands the
 best unexpanded nodes of its list, hop by hop, until none is left to expand.
@@ -27,7 +28,7 @@ from pyspark.sql.window import Window
 from surveyloom.functions import cut_lineage, quote
 
 #: Neighbours of a node; members compared around a node; best partners sent to each member.
-DEGREE, GATHERED, SENT = 20, 36, 8
+DEGREE, GATHERED, SENT = 30, 60, 12
 #: Points of a starting cell that are compared, and starting partitions.
 CELL, TRIALS = 96, 4
 #: Nodes or queries whose work goes to Python in one group.
@@ -105,34 +106,75 @@ def best_pairs(ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return np.repeat(ids, k), ids[near].ravel(), np.take_along_axis(s, near, 1).ravel()
 
 
-def nn_descent(points: DataFrame, n: int, dims: int, *, rounds: int = 5, settled: float = 0.02, seed: int = 42) -> DataFrame:
+def fresh_pairs(
+    edges: np.ndarray, ids: np.ndarray, x: np.ndarray, fresh: np.ndarray, worst: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, nbr, s): for each member of a run its ``k`` best others that are new to it.
+
+    Runs lie between ``edges`` and have at most GATHERED rows. Two members that
+    both stood around the centre in an earlier round were compared then; a
+    partner below the receiver's ``worst`` could not enter its list.
+    """
+    sizes = np.diff(edges)
+    run, place = np.repeat(np.arange(len(sizes)), sizes), np.arange(len(ids)) - np.repeat(edges[:-1], sizes)
+    shape = (len(sizes), int(sizes.max()))
+    rows = np.zeros(shape, np.int64)
+    rows[run, place] = np.arange(len(ids))
+    real = np.arange(shape[1]) < sizes[:, None]
+    around = x[rows]
+    s = around @ around.transpose(0, 2, 1)
+    new = fresh[rows]
+    s[~((new[:, :, None] | new[:, None, :]) & real[:, :, None] & real[:, None, :])] = -np.inf
+    s[:, np.arange(shape[1]), np.arange(shape[1])] = -np.inf
+    k = min(k, shape[1])
+    near = np.argpartition(-s, k - 1, axis=2)[:, :, :k]
+    best = np.take_along_axis(s, near, 2)
+    at = np.nonzero((best >= worst[rows][:, :, None]) & (best > -np.inf))
+    return ids[rows[at[0], at[1]]], ids[rows[at[0], near[at]]], best[at]
+
+
+def nn_descent(points: DataFrame, n: int, dims: int, *, rounds: int = 8, settled: float = 0.001, seed: int = 42) -> DataFrame:
     """(node, nbr, s): the neighbour graph, DEGREE edges a node."""
     order = (F.desc("s"), "nbr")
-    graph = cut_lineage(top(starting_lists(points, n, dims, seed).distinct(), "node", DEGREE, *order))
+    first = top(starting_lists(points, n, dims, seed).distinct(), "node", DEGREE, *order)
+    graph = cut_lineage(first.withColumn("fresh", F.lit(True)))
     before = graph.agg(F.count("*"), F.sum("s")).first()
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         order, edges = runs(pdf["centre"].to_numpy())
-        ids, x = pdf["member"].to_numpy()[order], matrix(pdf["q"])[order]
-        found = [best_pairs(ids[a:b], x[a:b], SENT) for a, b in zip(edges, edges[1:])]
-        return pd.DataFrame(dict(zip(("node", "nbr", "s"), map(np.concatenate, zip(*found)))))
+        pdf = pdf.iloc[order]
+        found = fresh_pairs(
+            edges, pdf["member"].to_numpy(), matrix(pdf["q"]), pdf["fresh"].to_numpy(), pdf["worst"].to_numpy(), SENT
+        )
+        return pd.DataFrame(dict(zip(("node", "nbr", "s"), found)))
 
     slots = max(1, n // SLOT)
 
     for _ in range(rounds):
-        both = graph.select(F.col("node").alias("centre"), F.col("nbr").alias("member"), "s").unionAll(
-            graph.select(F.col("nbr").alias("centre"), F.col("node").alias("member"), "s")
+        both = graph.select(F.col("node").alias("centre"), F.col("nbr").alias("member"), "s", "fresh").unionAll(
+            graph.select(F.col("nbr").alias("centre"), F.col("node").alias("member"), "s", "fresh")
+        )
+        edges = both.groupBy("centre", "member").agg(F.max("s").alias("s"), F.max("fresh").alias("fresh"))
+        gathered = top(edges, "centre", GATHERED, F.desc("s"), "member").select("centre", "member", "fresh")
+        # What a node's list ends with: nothing below it is worth sending. A list that is not full takes anything.
+        worst = graph.groupBy("node").agg(F.when(F.count("*") >= DEGREE, F.min("s")).alias("worst"))
+        members = points.join(worst, "node", "left").select(
+            F.col("node").alias("member"), "q", F.coalesce("worst", F.lit(float("-inf")).cast("float")).alias("worst")
+        )
+        found = (
+            gathered.join(members, "member")
+            .groupBy(F.expr(f"pmod(xxhash64(centre), {slots})"))
+            .applyInPandas(compare, "node long, nbr long, s float")
         )
-        gathered = top(both.groupBy("centre", "member").agg(F.max("s").alias("s")), "centre", GATHERED, F.desc("s"), "member")
-        gathered = gathered.select("centre", "member").join(points.withColumnRenamed("node", "member"), "member")
-        found = gathered.groupBy(F.expr(f"pmod(xxhash64(centre), {slots})")).applyInPandas(compare, "node long, nbr long, s float")
-        graph = cut_lineage(top(graph.unionByName(found).groupBy("node", "nbr").agg(F.max("s").alias("s")), "node", DEGREE, *order))
+        aged = graph.withColumn("fresh", F.lit(False)).unionByName(found.withColumn("fresh", F.lit(True)))
+        merged = aged.groupBy("node", "nbr").agg(F.max("s").alias("s"), F.min("fresh").alias("fresh"))
+        graph = cut_lineage(top(merged, "node", DEGREE, *order))
         after = graph.agg(F.count("*"), F.sum("s")).first()
         # The sums of all lists have all but stopped to rise.
-        if before[1] is None or after[1] - before[1] <= settled * 0.01 * abs(after[1]) and after[0] == before[0]:
+        if before[1] is None or after[1] - before[1] <= settled * abs(after[1]) and after[0] == before[0]:
             break
         before = after
-    return graph
+    return graph.drop("fresh")
 
 
 def graph_search(graph: DataFrame, points: DataFrame, queries: DataFrame, seeds: list[int], *, slots: int, keep: int, hops: int, wide: int) -> DataFrame:
@@ -177,7 +219,7 @@ def graph_search(graph: DataFrame, points: DataFrame, queries: DataFrame, seeds:
 
 def nearest(
     vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", every: int = 20, k: int = 20,
-    keep: int = 64, hops: int = 5, wide: int = 12, seed: int = 42,
+    keep: int = 128, hops: int = 8, wide: int = 24, seed: int = 42,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each row whose id is divisible by ``every``.
 
