@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from surveyloom.functions import cut_lineage, quote
 
 #: Neighbours of a node; members compared around a node; best partners sent to each member.
-DEGREE, GATHERED, SENT = 30, 60, 12
+DEGREE, GATHERED, SENT = 40, 80, 12
 #: Points of a starting cell that are compared, and starting partitions.
 CELL, TRIALS = 96, 4
 #: Nodes or queries whose work goes to Python in one group.
@@ -133,7 +133,7 @@ def fresh_pairs(
     return ids[rows[at[0], at[1]]], ids[rows[at[0], near[at]]], best[at]
 
 
-def nn_descent(points: DataFrame, n: int, dims: int, *, rounds: int = 8, settled: float = 0.001, seed: int = 42) -> DataFrame:
+def nn_descent(points: DataFrame, n: int, dims: int, *, rounds: int = 10, settled: float = 0.001, seed: int = 42) -> DataFrame:
     """(node, nbr, s): the neighbour graph, DEGREE edges a node."""
     order = (F.desc("s"), "nbr")
     first = top(starting_lists(points, n, dims, seed).distinct(), "node", DEGREE, *order)
