@@ -155,7 +155,10 @@ def nn_descent(points: DataFrame, n: int, dims: int, *, rounds: int = 10, settle
             graph.select(F.col("nbr").alias("centre"), F.col("node").alias("member"), "s", "fresh")
         )
         edges = both.groupBy("centre", "member").agg(F.max("s").alias("s"), F.max("fresh").alias("fresh"))
-        gathered = top(edges, "centre", GATHERED, F.desc("s"), "member").select("centre", "member", "fresh")
+        gathered = top(edges, "centre", GATHERED, F.desc("s"), "member")
+        # Around a centre without a new member all pairs have been compared.
+        news = F.max("fresh").over(Window.partitionBy("centre"))
+        gathered = gathered.withColumn("news", news).where("news").select("centre", "member", "fresh")
         # What a node's list ends with: nothing below it is worth sending. A list that is not full takes anything.
         worst = graph.groupBy("node").agg(F.when(F.count("*") >= DEGREE, F.min("s")).alias("worst"))
         members = points.join(worst, "node", "left").select(
