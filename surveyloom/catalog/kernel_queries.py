@@ -253,4 +253,4 @@ def _kernel_strategy_comparison(spark, sf_dir):
     df = clean_survey(spark, sf_dir).selectExpr(
         "resp_id", *FEATURES, "if(phq9_category = 'Severe', 1, -1) as severe"
     )
-    return kernel_strategy_comparison(df, "resp_id", FEATURES, "severe", kernels_list=(5, 10, 15), n_iterations=2)
+    return kernel_strategy_comparison(df, "resp_id", FEATURES, "severe", kernels_list=(5, 10, 15), n_iterations=10)

@@ -44,8 +44,8 @@ def _silhouette_series(spark, sf_dir):
 @query("cluster_scatter")
 def _cluster_scatter(spark, sf_dir):
     s = standardised_survey(spark, sf_dir)
-    model = cluster.partition.best_kmeans(cluster.as_vectors(cluster.spread(s), FEATURES), 5)
-    labels = cluster.kmeans_fit(s, "resp_id", FEATURES, model).withColumnRenamed("cluster", "KMeans")
+    fit = cluster.partition.best_kmeans(cluster.spread(s), FEATURES, [5])[5]
+    labels = cluster.kmeans_fit(s, "resp_id", FEATURES, fit).withColumnRenamed("cluster", "KMeans")
     return cluster_scatter(clean_survey(spark, sf_dir), labels, CONFIG)
 
 

@@ -43,7 +43,7 @@ class SurveyConfig:
     seed: int = 42
     k_min: int = 2
     k_max: int = 10
-    kmeans_restarts: int = 1
+    kmeans_restarts: int = 10
     silhouette_rows: int = 2_000
     eps_rows: int = 20_000
     subtractive_rows: int = 2_000
@@ -52,8 +52,8 @@ class SurveyConfig:
     min_eps: float = 0.5
     micro_clusters: int = 500
     n_trees: int = 100
-    max_depth: int = 30  # one tree: the deepest Spark grows
-    forest_depth: int = 12  # each of many trees; levels cost a pass over all rows
+    max_depth: int = 30  # the deepest Spark grows
+    forest_depth: int = 30
     boosting_rounds: int = 100
     rbf_features: int = 256
     num_kernels: int = 3

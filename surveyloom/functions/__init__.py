@@ -1,11 +1,11 @@
 from surveyloom.functions.columns import (
-    dot, doubles, hash52, ident, literal, local_table, numeric_columns, quote, require_columns, sq_dist,
+    complete, dot, doubles, hash52, ident, literal, local_table, numeric_columns, quote, require_columns, sq_dist,
     text_literal, unpivot, value_or_null,
 )
 from surveyloom.functions.runtime import cut_lineage, ensure_checkpoint_dir, in_parallel, scratch_path
 
 __all__ = [
-    "dot", "doubles", "hash52", "ident", "literal", "local_table", "numeric_columns", "quote",
+    "complete", "dot", "doubles", "hash52", "ident", "literal", "local_table", "numeric_columns", "quote",
     "require_columns", "sq_dist", "text_literal", "unpivot", "value_or_null",
     "cut_lineage", "ensure_checkpoint_dir", "in_parallel", "scratch_path",
 ]

@@ -84,6 +84,11 @@ def doubles(df: DataFrame, columns: Sequence[str], *, keep: Sequence[str] = ())
     return df.selectExpr(*[ident(k) for k in keep], *[f"cast({ident(c)} as double) as {ident(c)}" for c in columns])
 
 
+def complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows whose (double) features are neither null nor NaN."""
+    return df.where(" and ".join(f"not isnan(coalesce({ident(c)}, double('NaN')))" for c in columns))
+
+
 def value_or_null(x: float | None) -> float | None:
     """NaN and None both become None."""
     return None if x is None or x != x else float(x)

@@ -27,7 +27,7 @@ def spread(df: DataFrame) -> DataFrame:
     table with enough rows for every core keeps its own partitions.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    rows = df.limit(cores * ROWS_PER_TASK).count()
+    rows = df.count()
     wanted = -(-rows // ROWS_PER_TASK)
     parts = df.rdd.getNumPartitions()
     if wanted < cores:
@@ -49,15 +49,24 @@ def distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.stack([((x - c) ** 2).sum(axis=1) for c in centres], axis=1)
 
 
+_FIRST_NEAREST = (
+    "case when not isnan(array_min(distances_)) "
+    "then cast(array_position(distances_, array_min(distances_)) - 1 as int) end"
+)
+
+
 def nearest_centroid(
     df: DataFrame, columns: Sequence[str], centres: Sequence[Sequence[float]], *, out: str = "cluster"
 ) -> DataFrame:
-    """Index of the Euclidean-nearest centre, lowest index on a tie; no shuffle."""
+    """Index of the Euclidean-nearest centre, lowest index on a tie; no shuffle.
+
+    A row with a null or NaN feature has no nearest centre: its cluster is null.
+    """
     if len(centres) * len(columns) <= MAX_SQL_TERMS:
         each = ", ".join(sq_dist(columns, c) for c in centres)
         return (
             df.withColumn("distances_", F.expr(f"array({each})"))
-            .withColumn(out, F.expr("cast(array_position(distances_, array_min(distances_)) - 1 as int)"))
+            .withColumn(out, F.expr(_FIRST_NEAREST))
             .drop("distances_")
         )
     points = np.asarray(centres, dtype="float64")
@@ -66,7 +75,9 @@ def nearest_centroid(
     def closest(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for series in batches:
             x = np.column_stack([s.to_numpy(dtype="float64") for s in series])
-            yield pd.Series(distances(x, points).argmin(axis=1).astype("int32"))
+            near = pd.array(distances(x, points).argmin(axis=1), dtype="Int32")
+            near[np.isnan(x).any(axis=1)] = pd.NA
+            yield pd.Series(near)
 
     return df.withColumn(out, closest(*[F.expr(f"cast({ident(c)} as double)") for c in columns]))
 

@@ -15,10 +15,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveyloom.functions import cut_lineage, doubles, ident, local_table
+from surveyloom.functions import complete, cut_lineage, doubles, ident, local_table
 from surveyloom.operators.cluster.assign import matrix
 from surveyloom.operators.sampling import sample_n
 
@@ -45,6 +45,7 @@ def dbscan_eps(
     names = list(columns)
     rows = sample_n(doubles(df, names, keep=[key]), key, sample, seed=seed)
     points = matrix(rows.toPandas(), names)
+    points = points[~np.isnan(points).any(axis=1)]
     if len(points) < neighbours:
         return floor
     spark = df.sparkSession
@@ -265,13 +266,14 @@ def dbscan(
     """(key, cluster) for every row; −1 is noise.
 
     Clusters are numbered by their smallest core key; a border point within
-    reach of several clusters joins the first of them.
+    reach of several clusters joins the first of them. A row with a null or NaN
+    feature is near nothing, so it is noise.
     """
     names = [f"x{i}_" for i in range(len(columns))]
     rows = df.selectExpr(
         f"{ident(key)} as key_", *[f"cast({ident(c)} as double) as {n}" for c, n in zip(columns, names)]
     )
-    points = cut_lineage(rows.groupBy(*names).agg(F.min("key_").alias("pid"), F.count("*").alias("w")))
+    points = cut_lineage(complete(rows, names).groupBy(*names).agg(F.min("key_").alias("pid"), F.count("*").alias("w")))
     blocks = cut_lineage(_blocks(points, names, eps, block, seed, points.count()))
     core = cut_lineage(_neighbour_weights(blocks, names, eps).select("pid", (F.col("weight") >= min_points).alias("core")))
     links = cut_lineage(_links(blocks.join(core, "pid"), names, eps))
@@ -285,12 +287,20 @@ def dbscan(
     found = labels.join(core.where("core"), "pid", "left_semi").unionByName(border)
     numbered = _numbered(found.select("label").distinct())
     kinds = found.join(numbered, "label").select("pid", "cluster")
-    labelled = points.join(kinds, "pid", "left").select(*names, F.coalesce("cluster", F.lit(-1)).alias("cluster"))
-    return rows.join(labelled, names).select(F.col("key_").alias(key), F.col("cluster").cast("int").alias("cluster"))
+    labelled = points.join(kinds, "pid", "left").select(*names, "cluster")
+    return rows.join(labelled, names, "left").select(
+        F.col("key_").alias(key), F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster")
+    )
 
 
 def _numbered(labels: DataFrame) -> DataFrame:
     """Consecutive numbers in label order: a distributed sort and per-partition offsets."""
-    kind = labels.schema["label"].dataType.simpleString()
-    ordered = labels.orderBy("label")
-    return ordered.rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1])).toDF(f"label {kind}, cluster long")
+    ordered = cut_lineage(labels.orderBy("label").withColumn("part", F.spark_partition_id()))
+    sizes = sorted(ordered.groupBy("part").count().collect())  # one row per partition
+    before, offsets = 0, []
+    for part, n in sizes:
+        offsets.append((part, before))
+        before += n
+    starts = F.broadcast(local_table(labels.sparkSession, offsets, "part int, before long"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("label"))
+    return ordered.withColumn("place", place).join(starts, "part").selectExpr("label", "before + place - 1 as cluster")

@@ -9,9 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import cut_lineage, doubles, ident
-from surveyloom.operators.cluster.assign import as_vectors, distances, matrix, nearest_centroid, spread
-from surveyloom.operators.cluster.partition import best_kmeans, centres_of
+from surveyloom.functions import complete, cut_lineage, doubles, ident
+from surveyloom.operators.cluster.assign import distances, matrix, nearest_centroid, spread
+from surveyloom.operators.cluster.partition import best_kmeans
 
 
 def memberships(x: np.ndarray, centres: np.ndarray, fuzzifier: float) -> np.ndarray:
@@ -88,10 +88,12 @@ def fcm_centres(
     max_iter: int = 1_000,
     seed: int = 42,
 ) -> np.ndarray:
-    """Centres at convergence: largest centre shift below ``error``."""
-    data = spread(cut_lineage(doubles(df, columns))).persist()
-    start = best_kmeans(as_vectors(data, columns), c, seed=seed, max_iter=1)
-    centres = np.array(centres_of(start))
+    """Centres at convergence: largest centre shift below ``error``.
+
+    Rows with a null or NaN feature take no part.
+    """
+    data = spread(cut_lineage(complete(doubles(df, columns), columns))).persist()
+    centres = best_kmeans(data, columns, [c], restarts=1, seed=seed, max_iter=1)[c].means
     for _ in range(max_iter):
         moved = fcm_membership_step(data, columns, centres, fuzzifier=fuzzifier).orderBy("cluster").collect()
         updated = np.array([row[2:] for row in moved], dtype="float64")

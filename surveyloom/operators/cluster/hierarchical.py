@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import cut_lineage, doubles, local_table
-from surveyloom.operators.cluster.assign import as_vectors, distances
+from surveyloom.functions import cut_lineage, doubles
+from surveyloom.operators.cluster.assign import distances, nearest_centroid, spread
 from surveyloom.operators.cluster.partition import best_kmeans
 
 MICRO_CLUSTERS = 500
@@ -40,26 +39,21 @@ def ward_merge(centres: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
 
 
 def agglomerative(
-    df: DataFrame, key: str, columns: Sequence[str], k: int, *, micro: int = MICRO_CLUSTERS, seed: int = 42
+    df: DataFrame, key: str, columns: Sequence[str], k: int, *, micro: int = MICRO_CLUSTERS, restarts: int = 1,
+    max_iter: int = 30, seed: int = 42,
 ) -> DataFrame:
-    """(key, cluster): exact Ward up to ``micro`` rows, else Ward of micro-clusters.
+    """(key, cluster): Ward of at most ``micro`` weighted micro-clusters of all rows.
 
-    Every row takes part: K-Means condenses the table to at most ``micro``
-    weighted centres, whose merge tree is small whatever the table's size.
+    K-Means condenses the table, whatever its size; up to ``micro`` distinct points
+    are their own micro-clusters, so the merge is then exact. A row with a null or
+    NaN feature has a null cluster.
     """
-    rows = doubles(df, columns, keep=[key])
-    few = rows.limit(micro + 1).collect()
-    spark = df.sparkSession
-    kind = df.schema[key].dataType.simpleString()
-    if len(few) <= micro:
-        few.sort(key=lambda r: r[0])
-        labels = ward_merge(np.array([r[1:] for r in few], dtype="float64"), np.ones(len(few)), k)
-        return local_table(spark, [(r[0], int(c)) for r, c in zip(few, labels)], f"`{key}` {kind}, cluster int")
-    vectors = cut_lineage(as_vectors(rows, columns, keep=[key]))
-    model = best_kmeans(vectors, micro, seed=seed, max_iter=10, start="random")
-    assigned = model.transform(vectors).withColumnRenamed("cluster", "micro")
-    found = assigned.groupBy("micro").agg(F.count("*").alias("n"), Summarizer.mean(F.col("features")).alias("m")).collect()
-    found.sort(key=lambda r: r["micro"])
-    labels = ward_merge(np.array([r["m"].toArray() for r in found]), np.array([r["n"] for r in found]), k)
-    merged = local_table(spark, [(r["micro"], int(c)) for r, c in zip(found, labels)], "micro int, cluster int")
-    return assigned.join(F.broadcast(merged), "micro").select(key, "cluster")
+    data = spread(cut_lineage(doubles(df, columns))).persist()
+    fit = best_kmeans(data, columns, [micro], restarts=restarts, seed=seed, max_iter=max_iter)[micro]
+    data.unpersist()
+    held = np.flatnonzero(fit.sizes > 0)
+    labels = np.zeros(len(fit.sizes), dtype=int)
+    labels[held] = ward_merge(fit.means[held], fit.sizes[held], k)
+    merged = F.array(*[F.lit(int(c)) for c in labels])
+    near = nearest_centroid(df, columns, fit.centres.tolist(), out="micro_")
+    return near.select(key, merged[F.col("micro_")].alias("cluster"))

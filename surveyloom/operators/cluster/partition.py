@@ -2,31 +2,133 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveyloom.functions import cut_lineage, ident, in_parallel, local_table
-from surveyloom.operators.cluster.assign import as_vectors, cluster_centres, distances, spread
+from surveyloom.functions import complete, cut_lineage, doubles, ident, local_table, quote
+from surveyloom.operators.cluster.assign import cluster_centres, distances, matrix, nearest_centroid, spread
 from surveyloom.operators.cluster.quality import SilhouetteSample
 
+#: Distinct points, at most, among which starting centres are drawn.
+START_POINTS = 10_000
+
+
+@dataclass(frozen=True)
+class KMeansFit:
+    """Centres, the cost of assigning every row to them, and the size and mean of each cluster."""
+
+    centres: np.ndarray
+    cost: float
+    sizes: np.ndarray
+    means: np.ndarray
+
+
+def starting_points(df: DataFrame, columns: Sequence[str], n: int, seed: int) -> np.ndarray:
+    """The ``n`` distinct complete points of smallest hash; each task sends at most ``n``."""
+    names = list(columns)
+    hashed = complete(doubles(df, names), names).withColumn("hash_", F.xxhash64(F.lit(seed), *[quote(c) for c in names]))
+
+    def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for batch in batches:
+            kept = pd.concat([kept, batch]).drop_duplicates().nsmallest(n, "hash_")
+        if kept is not None:
+            yield kept
+
+    drawn = hashed.mapInPandas(smallest, hashed.schema).distinct().orderBy("hash_", *[quote(c) for c in names]).limit(n)
+    return matrix(drawn.toPandas(), names)
+
+
+def spread_start(points: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """At most ``k`` distinct points, each drawn with its squared distance to those before."""
+    rng = np.random.default_rng(seed)
+    chosen = [int(rng.integers(len(points)))]
+    gap = ((points - points[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < k and gap.sum() > 0:
+        chosen.append(int(rng.choice(len(points), p=gap / gap.sum())))
+        gap = np.minimum(gap, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
+    return points[chosen]
+
+
+def _cluster_sums(data: DataFrame, columns: Sequence[str], models: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """model → (k, 2 + d): rows, cost and feature sums of each cluster, all models in one scan."""
+    names, wide = list(columns), len(columns)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = {m: np.zeros((len(c), wide + 2)) for m, c in models.items()}
+        for batch in batches:
+            x = matrix(batch, names)
+            x = x[~np.isnan(x).any(axis=1)]
+            for m, c in models.items():
+                near = ((c * c).sum(axis=1) / 2 - x @ c.T).argmin(axis=1)
+                cost = ((x - c[near]) ** 2).sum(axis=1)
+                for j, v in enumerate((None, cost, *x.T)):
+                    sums[m][:, j] += np.bincount(near, weights=v, minlength=len(c))
+        for m, s in sums.items():
+            out = pd.DataFrame(s, columns=[f"s{j}" for j in range(wide + 2)])
+            out.insert(0, "cluster", np.arange(len(s), dtype="int32"))
+            out.insert(0, "model", np.int32(m))
+            yield out[s[:, 0] > 0]
+
+    fields = [f"s{j}" for j in range(wide + 2)]
+    merged = (
+        data.mapInPandas(partial, "model int, cluster int, " + ", ".join(f"{f} double" for f in fields))
+        .groupBy("model", "cluster")
+        .agg(*[F.sum(f) for f in fields])
+        .collect()  # one row per centre
+    )
+    found = {m: np.zeros((len(c), wide + 2)) for m, c in models.items()}
+    for row in merged:
+        found[row[0]][row[1]] = row[2:]
+    return found
+
+
+def lloyd(
+    data: DataFrame, columns: Sequence[str], starts: Sequence[np.ndarray], *, max_iter: int = 300, tol: float = 0.0
+) -> list[KMeansFit]:
+    """Lloyd's iterations from each start; every pass over the rows serves all starts still moving.
+
+    A fit ends when its centres' squared shifts add up to ``tol`` or less. A centre
+    that lost its rows stays where it is. Rows with a null or NaN feature take no part.
+    """
+    moving, done = dict(enumerate(starts)), {}
+    for step in range(max_iter + 1):
+        for m, s in _cluster_sums(data, columns, moving).items():
+            sizes, centres = s[:, 0], moving[m]
+            means = np.where(sizes[:, None] > 0, s[:, 2:] / np.maximum(sizes, 1)[:, None], centres)
+            if step == max_iter or ((means - centres) ** 2).sum() <= tol:
+                done[m] = KMeansFit(centres, float(s[:, 1].sum()), sizes, means)
+                del moving[m]
+            else:
+                moving[m] = means
+        if not moving:
+            break
+    return [done[m] for m in range(len(starts))]
+
 
 def best_kmeans(
-    vectors: DataFrame, k: int, *, restarts: int = 1, seed: int = 42, max_iter: int = 300, start: str = "k-means||"
-) -> KMeansModel:
-    """The cheapest of ``restarts`` fits."""
-    estimators = [
-        KMeans(
-            k=k, seed=seed + r, maxIter=max_iter, tol=1e-4, initMode=start,
-            featuresCol="features", predictionCol="cluster",
-        )
-        for r in range(restarts)
-    ]
-    fits = in_parallel(vectors.sparkSession, [lambda e=e: e.fit(vectors) for e in estimators])
-    return min(fits, key=lambda m: m.summary.trainingCost)
+    df: DataFrame, columns: Sequence[str], ks: Sequence[int], *, restarts: int = 10, seed: int = 42, max_iter: int = 300
+) -> dict[int, KMeansFit]:
+    """The cheapest of ``restarts`` fits for each k; all of them share the passes over the rows.
+
+    With fewer distinct points than k, each point is its own cluster.
+    """
+    points = starting_points(df, columns, START_POINTS, seed)
+    if not len(points):
+        raise ValueError("no row without a null or NaN feature")
+    starts = [(k, spread_start(points, k, seed + r)) for k in ks for r in range(restarts)]
+    tol = 1e-4 * float(points.var(axis=0).mean())
+    fits = lloyd(doubles(df, columns), columns, [c for _, c in starts], max_iter=max_iter, tol=tol)
+    best: dict[int, KMeansFit] = {}
+    for (k, _), fit in zip(starts, fits):
+        if k not in best or fit.cost < best[k].cost:
+            best[k] = fit
+    return best
 
 
 def kmeans_sweep(
@@ -36,25 +138,19 @@ def kmeans_sweep(
     *,
     k_min: int = 2,
     k_max: int = 10,
-    restarts: int = 1,
+    restarts: int = 10,
     seed: int = 42,
     silhouette_rows: int = 2_000,
-) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """(k, inertia, silhouette) for each k, and the fitted models.
-
-    A larger k starting badly can cost more than a smaller one; the cheapest of
-    the restarts is kept, as with repeated starts elsewhere.
-    """
-    # Spark ML caches its own compact copy; the checkpoint spares it the lineage.
-    vectors = spread(cut_lineage(as_vectors(df, columns, keep=[key])))
-    sample = SilhouetteSample.draw(df, key, columns, silhouette_rows, seed)
+) -> tuple[DataFrame, dict[int, KMeansFit]]:
+    """(k, inertia, silhouette) for each k, and the fits."""
+    data = spread(cut_lineage(doubles(df, columns, keep=[key]))).persist()
+    sample = SilhouetteSample.draw(data, key, columns, silhouette_rows, seed)
     points = sample.matrix()
-    ks = range(k_min, k_max + 1)
-    fits = in_parallel(df.sparkSession, [lambda k=k: best_kmeans(vectors, k, restarts=restarts, seed=seed) for k in ks])
-    models = dict(zip(ks, fits))
-    scores = sample.scores({k: distances(points, np.array(centres_of(m))).argmin(axis=1) for k, m in models.items()})
-    rows = [(k, float(m.summary.trainingCost), scores[k]) for k, m in models.items()]
-    return local_table(df.sparkSession, rows, "k int, inertia double, silhouette double"), models
+    fits = best_kmeans(data, columns, range(k_min, k_max + 1), restarts=restarts, seed=seed)
+    data.unpersist()
+    scores = sample.scores({k: distances(points, f.centres).argmin(axis=1) for k, f in fits.items()})
+    rows = [(k, f.cost, scores[k]) for k, f in fits.items()]
+    return local_table(df.sparkSession, rows, "k int, inertia double, silhouette double"), fits
 
 
 def elbow_k(series: DataFrame, *, k: str = "k", inertia: str = "inertia") -> DataFrame:
@@ -72,9 +168,9 @@ def elbow_k(series: DataFrame, *, k: str = "k", inertia: str = "inertia") -> Dat
     return bends.where("bend is not null").orderBy(F.desc("bend"), "k").limit(1)
 
 
-def kmeans_fit(df: DataFrame, key: str, columns: Sequence[str], model: KMeansModel) -> DataFrame:
-    """(key, cluster) for every row."""
-    return model.transform(as_vectors(df, columns, keep=[key])).select(key, "cluster")
+def kmeans_fit(df: DataFrame, key: str, columns: Sequence[str], fit: KMeansFit) -> DataFrame:
+    """(key, cluster) for every row; null where a feature is null or NaN."""
+    return nearest_centroid(df, columns, fit.centres.tolist()).select(key, "cluster")
 
 
 def within_sums(df: DataFrame, columns: Sequence[str], labellings: dict[int, str]) -> DataFrame:
@@ -94,10 +190,6 @@ def within_sums(df: DataFrame, columns: Sequence[str], labellings: dict[int, str
     )
 
 
-def centres_of(model: KMeansModel) -> list[list[float]]:
-    return [list(map(float, c)) for c in model.clusterCenters()]
-
-
 __all__ = [
-    "best_kmeans", "centres_of", "cluster_centres", "elbow_k", "kmeans_fit", "kmeans_sweep", "within_sums",
+    "KMeansFit", "best_kmeans", "cluster_centres", "elbow_k", "kmeans_fit", "kmeans_sweep", "lloyd", "within_sums",
 ]

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions import (
-    ident, literal, local_table, numeric_columns, quote, text_literal, unpivot, value_or_null,
+    doubles, ident, literal, local_table, numeric_columns, quote, text_literal, unpivot, value_or_null,
 )
 from surveyloom.operators.ranks import exact_percentiles
 
@@ -145,18 +145,40 @@ def pearson_vs_target(df: DataFrame, columns: Sequence[str], target: str) -> Dat
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Strictly lower triangle of the Pearson matrix, long form.
 
-    Rows with a null are skipped; the p×p matrix is the only thing collected.
+    Each pair uses the rows where both columns hold a number; a constant or empty
+    pair has a null r. Tasks send one row of sums per pair, taken about the column
+    means so that large means lose no digits.
     """
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v_", handleInvalid="skip").transform(
-        df.selectExpr(*[ident(c) for c in columns])
+    names = list(columns)
+    rows = doubles(df, names)
+    means = np.array(rows.agg(*[F.avg(F.nanvl(quote(c), F.lit(None))) for c in names]).first(), dtype="float64")
+    i, j = np.tril_indices(len(names), -1)
+    fields = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(fields), len(names), len(names)))
+        for batch in batches:
+            x = batch.to_numpy(dtype="float64") - means
+            held = ~np.isnan(x)
+            x, held = np.where(held, x, 0.0), held.astype("float64")
+            s, ss = x.T @ held, (x * x).T @ held
+            total += np.stack([held.T @ held, s, s.T, ss, ss.T, x.T @ x])
+        out = pd.DataFrame(total[:, i, j].T, columns=fields)
+        out.insert(0, "j", j.astype("int32"))
+        out.insert(0, "i", i.astype("int32"))
+        yield out[out["n"] > 0]
+
+    merged = (
+        rows.mapInPandas(sums, "i int, j int, " + ", ".join(f"{f} double" for f in fields))
+        .groupBy("i", "j")
+        .agg(*[F.sum(f).alias(f) for f in fields])
+    )
+    spark = df.sparkSession
+    pairs = local_table(spark, [(int(a), int(b), names[a], names[b]) for a, b in zip(i, j)], "i int, j int, column_a string, column_b string")
+    r = "(n * sxy - sx * sy) / sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))"
+    return pairs.join(merged, ["i", "j"], "left").selectExpr(
+        "column_a", "column_b", f"case when n * sxx - sx * sx > 0 and n * syy - sy * sy > 0 then {r} end as r"
     )
-    matrix = Correlation.corr(vectors, "v_").first()[0].toArray()
-    rows = [
-        (columns[i], columns[j], value_or_null(float(matrix[i, j])))
-        for i in range(len(columns))
-        for j in range(i)
-    ]
-    return local_table(df.sparkSession, rows, "column_a string, column_b string, r double")
 
 
 def sturges_bins(n: int) -> int:
@@ -190,11 +212,6 @@ def histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def histogram_lines(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The mean and median marks drawn on each histogram."""
-    return central_tendency(df, columns)
-
-
 def boxplot_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (extreme points inside the fences) and flier count."""
     structs = []

@@ -48,6 +48,41 @@ def test_dbscan_equals_brute_force_with_copies_and_small_blocks(spark, block):
     assert [got[i] for i in range(len(x))] == brute_dbscan(x, 0.5, 5)
 
 
+def test_rows_without_a_feature_are_noise_and_without_a_centre(spark):
+    x, _ = blobs(n=10)
+    x = np.vstack([x, [[np.nan, 0.0], [1.0, np.nan]]])
+    df, names = table(spark, x)
+    df = df.selectExpr("k", "if(k = 31, null, x0) as x0", "x1")
+    got = {r[0]: r[1] for r in cluster.dbscan(df, "k", names, 1.5).collect()}
+    assert len(got) == len(x) and got[30] == got[31] == -1
+    few, many = [[0.0, 0.0], [6.0, 0.0]], [[0.0, 0.0], [6.0, 0.0]] + [[50.0 + i, 50.0] for i in range(120)]
+    for centres in (few, many):  # SQL text, and batches
+        near = {r["k"]: r["cluster"] for r in cluster.nearest_centroid(df, names, centres).collect()}
+        assert near[30] is None and near[31] is None and near[0] == 0 and near[10] == 1
+    fit = cluster.kmeans_sweep(df, "k", names, k_max=3)[1][3]
+    labels = {r[0]: r[1] for r in cluster.kmeans_fit(df, "k", names, fit).collect()}
+    assert labels[30] is None and fit.sizes.sum() == 30
+
+
+def test_kmeans_sums_match_the_assigned_rows_and_copies_need_fewer_centres(spark):
+    x, _ = blobs(seed=4, n=30)
+    df, names = table(spark, x)
+    fit = cluster.partition.best_kmeans(df, names, [4])[4]
+    near = ((x[:, None] - fit.centres) ** 2).sum(-1)
+    assert fit.cost == pytest.approx(near.min(axis=1).sum())
+    assert fit.sizes.tolist() == np.bincount(near.argmin(axis=1), minlength=4).tolist()
+    df, names = table(spark, np.repeat([[0.0, 1.0], [5.0, 5.0]], 20, axis=0))
+    fit = cluster.partition.best_kmeans(df, names, [4])[4]
+    assert fit.cost == 0 and sorted(fit.sizes) == [20, 20]
+
+
+def test_ward_of_few_distinct_points_is_exact(spark):
+    x = np.array([[0.0, 0], [0.2, 0], [5, 5], [5.1, 5], [9, 0], [9.3, 0]])
+    df, names = table(spark, np.repeat(x, 200, axis=0))  # more rows than micro-clusters
+    found = {r[0]: r[1] for r in cluster.agglomerative(df, "k", names, 3).collect()}
+    assert len(set(found.values())) == 3 and all(len({found[i] for i in range(400 * g, 400 * g + 400)}) == 1 for g in range(3))
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).selectExpr("id as pid", "id + 1 as other")
     labels = {r[0]: r[1] for r in connected_components(edges).collect()}

@@ -136,3 +136,17 @@ def test_random_split_sizes(spark):
     n = dict(sampling.random_split(df, "k", seed=3).groupBy("split").count().collect())
     assert n == {"train": 70, "test": 31}
     assert sampling.random_split(df, "k", exact=False).where(F.col("split") == "test").count() > 10
+
+
+def test_correlations_are_pairwise_and_keep_digits_at_large_means(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    x = pd.DataFrame(rng.normal(size=(300, 3)) + [0, 1e7, -3], columns=["a", "b", "c"])
+    x["c"] += x["a"]
+    x["flat"] = 2.0
+    x.iloc[::7, 0], x.iloc[::5, 2] = np.nan, np.nan
+    got = {(r[0], r[1]): r[2] for r in profile.correlation_matrix(spark.createDataFrame(x).replace(float("nan"), None), list(x)).collect()}
+    want = x.corr()
+    assert len(got) == 6 and got["flat", "a"] is None
+    assert all(got[a, b] == pytest.approx(want.loc[a, b], abs=1e-9) for a, b in got if a != "flat")
