@@ -96,7 +96,7 @@ def _elbow_k(spark, sf_dir):
 @query("kmeans_fit")
 def _kmeans_fit(spark, sf_dir):
     s = standardised_survey(spark, sf_dir)
-    fit = cluster.partition.best_kmeans(cluster.spread(s), FEATURES, [5])[5]
+    fit = cluster.partition.best_kmeans(s, FEATURES, [5])[5]
     return cluster.kmeans_fit(s, "resp_id", FEATURES, fit)
 
 

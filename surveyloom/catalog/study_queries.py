@@ -44,7 +44,7 @@ def _silhouette_series(spark, sf_dir):
 @query("cluster_scatter")
 def _cluster_scatter(spark, sf_dir):
     s = standardised_survey(spark, sf_dir)
-    fit = cluster.partition.best_kmeans(cluster.spread(s), FEATURES, [5])[5]
+    fit = cluster.partition.best_kmeans(s, FEATURES, [5])[5]
     labels = cluster.kmeans_fit(s, "resp_id", FEATURES, fit).withColumnRenamed("cluster", "KMeans")
     return cluster_scatter(clean_survey(spark, sf_dir), labels, CONFIG)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions import complete, cut_lineage, doubles, ident
 from surveyloom.operators.cluster.assign import distances, matrix, nearest_centroid, spread
-from surveyloom.operators.cluster.partition import best_kmeans
+from surveyloom.operators.cluster.partition import START_POINTS, lloyd, spread_start, starting_points
 
 
 def memberships(x: np.ndarray, centres: np.ndarray, fuzzifier: float) -> np.ndarray:
@@ -93,7 +93,8 @@ def fcm_centres(
     Rows with a null or NaN feature take no part.
     """
     data = spread(cut_lineage(complete(doubles(df, columns), columns))).persist()
-    centres = best_kmeans(data, columns, [c], restarts=1, seed=seed, max_iter=1)[c].means
+    start = spread_start(starting_points(data, columns, START_POINTS, seed), c, seed)
+    centres = lloyd(data, columns, [start], max_iter=1)[0].means
     for _ in range(max_iter):
         moved = fcm_membership_step(data, columns, centres, fuzzifier=fuzzifier).orderBy("cluster").collect()
         updated = np.array([row[2:] for row in moved], dtype="float64")

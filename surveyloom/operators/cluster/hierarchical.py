@@ -8,8 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import cut_lineage, doubles
-from surveyloom.operators.cluster.assign import distances, nearest_centroid, spread
+from surveyloom.operators.cluster.assign import distances, nearest_centroid
 from surveyloom.operators.cluster.partition import best_kmeans
 
 MICRO_CLUSTERS = 500
@@ -48,9 +47,7 @@ def agglomerative(
     are their own micro-clusters, so the merge is then exact. A row with a null or
     NaN feature has a null cluster.
     """
-    data = spread(cut_lineage(doubles(df, columns))).persist()
-    fit = best_kmeans(data, columns, [micro], restarts=restarts, seed=seed, max_iter=max_iter)[micro]
-    data.unpersist()
+    fit = best_kmeans(df, columns, [micro], restarts=restarts, seed=seed, max_iter=max_iter)[micro]
     held = np.flatnonzero(fit.sizes > 0)
     labels = np.zeros(len(fit.sizes), dtype=int)
     labels[held] = ward_merge(fit.means[held], fit.sizes[held], k)

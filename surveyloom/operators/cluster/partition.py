@@ -67,8 +67,8 @@ def _cluster_sums(data: DataFrame, columns: Sequence[str], models: dict[int, np.
             for m, c in models.items():
                 near = ((c * c).sum(axis=1) / 2 - x @ c.T).argmin(axis=1)
                 cost = ((x - c[near]) ** 2).sum(axis=1)
-                for j, v in enumerate((None, cost, *x.T)):
-                    sums[m][:, j] += np.bincount(near, weights=v, minlength=len(c))
+                member = (near == np.arange(len(c))[:, None]).astype("float64")
+                sums[m] += member @ np.column_stack([np.ones(len(x)), cost, x])
         for m, s in sums.items():
             out = pd.DataFrame(s, columns=[f"s{j}" for j in range(wide + 2)])
             out.insert(0, "cluster", np.arange(len(s), dtype="int32"))
@@ -89,20 +89,24 @@ def _cluster_sums(data: DataFrame, columns: Sequence[str], models: dict[int, np.
 
 
 def lloyd(
-    data: DataFrame, columns: Sequence[str], starts: Sequence[np.ndarray], *, max_iter: int = 300, tol: float = 0.0
+    data: DataFrame, columns: Sequence[str], starts: Sequence[np.ndarray], *, max_iter: int = 300, tol: float = 0.0,
+    gain: float = 1e-5,
 ) -> list[KMeansFit]:
     """Lloyd's iterations from each start; every pass over the rows serves all starts still moving.
 
-    A fit ends when its centres' squared shifts add up to ``tol`` or less. A centre
-    that lost its rows stays where it is. Rows with a null or NaN feature take no part.
+    A fit ends when its centres' squared shifts add up to ``tol`` or less, or a pass
+    lowers its cost by no more than the share ``gain``. A centre that lost its rows stays where it is. Rows with a null or NaN feature take no part.
     """
-    moving, done = dict(enumerate(starts)), {}
+    moving, done, last = dict(enumerate(starts)), {}, {}
     for step in range(max_iter + 1):
         for m, s in _cluster_sums(data, columns, moving).items():
             sizes, centres = s[:, 0], moving[m]
             means = np.where(sizes[:, None] > 0, s[:, 2:] / np.maximum(sizes, 1)[:, None], centres)
-            if step == max_iter or ((means - centres) ** 2).sum() <= tol:
-                done[m] = KMeansFit(centres, float(s[:, 1].sum()), sizes, means)
+            cost = float(s[:, 1].sum())
+            settled = ((means - centres) ** 2).sum() <= tol or last.get(m, np.inf) - cost <= gain * cost
+            last[m] = cost
+            if step == max_iter or settled:
+                done[m] = KMeansFit(centres, cost, sizes, means)
                 del moving[m]
             else:
                 moving[m] = means
@@ -114,16 +118,18 @@ def lloyd(
 def best_kmeans(
     df: DataFrame, columns: Sequence[str], ks: Sequence[int], *, restarts: int = 10, seed: int = 42, max_iter: int = 300
 ) -> dict[int, KMeansFit]:
-    """The cheapest of ``restarts`` fits for each k; all of them share the passes over the rows.
+    """The cheapest of ``restarts`` fits for each k; all of them share the passes over one copy of the rows.
 
     With fewer distinct points than k, each point is its own cluster.
     """
-    points = starting_points(df, columns, START_POINTS, seed)
+    data = spread(cut_lineage(complete(doubles(df, columns), columns))).persist()
+    points = starting_points(data, columns, START_POINTS, seed)
     if not len(points):
         raise ValueError("no row without a null or NaN feature")
     starts = [(k, spread_start(points, k, seed + r)) for k in ks for r in range(restarts)]
     tol = 1e-4 * float(points.var(axis=0).mean())
-    fits = lloyd(doubles(df, columns), columns, [c for _, c in starts], max_iter=max_iter, tol=tol)
+    fits = lloyd(data, columns, [c for _, c in starts], max_iter=max_iter, tol=tol)
+    data.unpersist()
     best: dict[int, KMeansFit] = {}
     for (k, _), fit in zip(starts, fits):
         if k not in best or fit.cost < best[k].cost:
@@ -143,11 +149,9 @@ def kmeans_sweep(
     silhouette_rows: int = 2_000,
 ) -> tuple[DataFrame, dict[int, KMeansFit]]:
     """(k, inertia, silhouette) for each k, and the fits."""
-    data = spread(cut_lineage(doubles(df, columns, keep=[key]))).persist()
-    sample = SilhouetteSample.draw(data, key, columns, silhouette_rows, seed)
+    sample = SilhouetteSample.draw(df, key, columns, silhouette_rows, seed)
     points = sample.matrix()
-    fits = best_kmeans(data, columns, range(k_min, k_max + 1), restarts=restarts, seed=seed)
-    data.unpersist()
+    fits = best_kmeans(df, columns, range(k_min, k_max + 1), restarts=restarts, seed=seed)
     scores = sample.scores({k: distances(points, f.centres).argmin(axis=1) for k, f in fits.items()})
     rows = [(k, f.cost, scores[k]) for k, f in fits.items()]
     return local_table(df.sparkSession, rows, "k int, inertia double, silhouette double"), fits

@@ -142,16 +142,22 @@ def pearson_vs_target(df: DataFrame, columns: Sequence[str], target: str) -> Dat
     return _per_column(df, columns, {"r": f"corr(cast({{c}} as double), cast({ident(target)} as double))"})
 
 
+#: Rows whose means the correlation sums are taken about; any typical value will do.
+SHIFT_ROWS = 100
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Strictly lower triangle of the Pearson matrix, long form.
 
     Each pair uses the rows where both columns hold a number; a constant or empty
-    pair has a null r. Tasks send one row of sums per pair, taken about the column
-    means so that large means lose no digits.
+    pair has a null r. Tasks send one row of sums per pair, taken about the means
+    of the first rows so that large means lose no digits.
     """
     names = list(columns)
     rows = doubles(df, names)
-    means = np.array(rows.agg(*[F.avg(F.nanvl(quote(c), F.lit(None))) for c in names]).first(), dtype="float64")
+    first = np.array([tuple(r) for r in rows.head(SHIFT_ROWS)], dtype="float64").reshape(-1, len(names))
+    held = ~np.isnan(first)
+    means = np.where(held, first, 0.0).sum(axis=0) / np.maximum(held.sum(axis=0), 1)
     i, j = np.tril_indices(len(names), -1)
     fields = ["n", "sx", "sy", "sxx", "syy", "sxy"]
 
