@@ -19,7 +19,7 @@ MAX_CLUSTERS = 10_000
 ROWS_PER_TASK = 16_000
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """A layout for repeated passes, for tables too small to fill the cores.
 
     One small file arrives as one partition, which idles cores on 10⁵ rows; and a
@@ -28,7 +28,7 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     rows = df.count()
-    wanted = -(-rows // ROWS_PER_TASK)
+    wanted = -(-rows // rows_per_task)
     parts = df.rdd.getNumPartitions()
     if wanted < cores:
         return df.coalesce(max(wanted, 1)) if wanted <= parts else df.repartition(wanted)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveyloom.functions import complete, cut_lineage, doubles, ident, local_table, quote
-from surveyloom.operators.cluster.assign import cluster_centres, distances, matrix, nearest_centroid, spread
+from surveyloom.operators.cluster.assign import ROWS_PER_TASK, cluster_centres, distances, matrix, nearest_centroid, spread
 from surveyloom.operators.cluster.quality import SilhouetteSample
 
 #: Distinct points, at most, among which starting centres are drawn.
@@ -122,7 +122,8 @@ def best_kmeans(
 
     With fewer distinct points than k, each point is its own cluster.
     """
-    data = spread(cut_lineage(complete(doubles(df, columns), columns))).persist()
+    rows_per_task = max(ROWS_PER_TASK // (len(ks) * restarts), 1_000)  # each row meets every start
+    data = spread(cut_lineage(complete(doubles(df, columns), columns)), rows_per_task=rows_per_task).persist()
     points = starting_points(data, columns, START_POINTS, seed)
     if not len(points):
         raise ValueError("no row without a null or NaN feature")
