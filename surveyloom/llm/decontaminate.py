@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from surveyloom.functions import quote
 
-#: Seed masks: 1 = the token counts, 0 = it may differ. Eight tokens of a span of twelve or so.
-MASKS = ("111011001011", "11010110100111", "1110100110111")
+#: Seed masks: 1 = the token counts, 0 = it may differ. Whichever two of 13 tokens differ,
+#: one mask fits between or over them (a test enumerates all places).
+MASKS = ("11101111", "1111010011", "110100101011")
 #: Items with fewer tokens are no evidence of anything and are left out.
 MIN_TOKENS = 5
 #: Seeds that may be sent to every task, with their items' tokens; about 100 bytes each.

@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 import pytest
 
@@ -79,3 +80,20 @@ def test_equals_brute_force(spark, make, items):
 
 def test_empty_tables(spark, make, items):
     assert run(spark, make, [], items) == [] and run(spark, make, [(1, "some words here and there")], []) == []
+
+
+def substituted(words, places):
+    return " ".join("other" if i in places else w for i, w in enumerate(words))
+
+
+def test_every_two_substitutions(spark, make):
+    """A run of 13 with any two tokens replaced is found, alone, inside a text and in a longer item."""
+    words = [f"w{i}" for i in range(13)]
+    places = [p for n in (0, 1, 2) for p in combinations(range(13), n)]
+    texts = [substituted(words, p) for p in places] + [f"a {substituted(words, p)} b" for p in places]
+    texts += [" ".join(words[2:]), " ".join(words[:11]), " ".join(words[1:12])]
+    for item in (" ".join(words), " ".join(f"w{i}" for i in range(-4, 20))):
+        got = run(spark, make, list(enumerate(texts)), [(1, item)])
+        assert [r.doc_id for r in got] == list(range(len(texts)))
+    weak = [substituted(words, p) for p in combinations(range(13), 3)]
+    assert run(spark, make, list(enumerate(weak)), [(1, " ".join(words))]) == []
