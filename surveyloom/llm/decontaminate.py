@@ -10,16 +10,28 @@ agrees in at least ``agree`` of them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections import defaultdict
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions import quote
 
-#: Seed masks: 1 = the token counts, 0 = it may differ. Whichever two of 13 tokens differ,
-#: one mask fits between or over them (a test enumerates all places).
-MASKS = ("11101111", "1111010011", "110100101011")
+#: Seed masks by (tokens of a run, how many may differ): 1 = the token counts, 0 = it may differ.
+#: Whichever tokens differ, one mask fits between or over them (a test enumerates all places).
+MASKS = {
+    (13, 2): ("11101111", "1111010011", "110100101011"),
+    (12, 2): ("11101011", "101100111", "111111"),
+    (11, 2): ("1101111", "111100011", "1100011011"),
+    (10, 2): ("111011", "11010011", "11111"),
+    (9, 1): ("1111011", "1101111"),
+    (8, 1): ("111111", "1111011", "1101111"),
+    (7, 1): ("11111", "111011", "110111"),
+    (6, 1): ("1111", "11011"),
+    (5, 1): ("1111", "11101", "11011", "10111"),
+}
 #: Items with fewer tokens are no evidence of anything and are left out.
 MIN_TOKENS = 5
 #: Seeds that may be sent to every task, with their items' tokens; about 100 bytes each.
@@ -31,16 +43,25 @@ def tokens(text: str = "text") -> str:
     return f"array_remove(split(lower(coalesce({text}, '')), '[^\\\\p{{L}}\\\\p{{N}}]+'), '')"
 
 
+def seed_masks(run: int, agree: float) -> tuple[str, ...]:
+    """Masks of which one fits every run of ``run`` tokens that agrees in a share of ``agree``.
+
+    Where none are listed it is the longest stretch that must be free of differences.
+    """
+    differ = min(run - math.ceil(agree * run), run - 1)
+    return MASKS.get((run, differ)) or ("1" * -(-(run - differ) // (differ + 1)),)
+
+
 def seed_hash(words: str, at: str, mask: str, kind: int) -> str:
     """SQL text: the hash of the tokens that ``mask`` picks from ``at`` (1-based) on; null past the end."""
     picked = ", ".join(f"{words}[{at} + {i - 1}]" for i, bit in enumerate(mask) if bit == "1")
     return f"if({at} + {len(mask) - 1} <= size({words}), xxhash64({kind}, {picked}), null)"
 
 
-def positions(rows: DataFrame, words: str, masks: Sequence[str], *keep: str) -> DataFrame:
-    """(keep…, pos, h) for every position and mask of the token arrays."""
+def positions(rows: DataFrame, words: str, masks: Mapping[str, str], *keep: str) -> DataFrame:
+    """(keep…, pos, h) for every position of the token arrays and every mask whose condition holds."""
     at = rows.where(f"size({words}) > 0").selectExpr(*keep, words, f"explode(sequence(1, size({words}))) as pos")
-    kinds = ", ".join(seed_hash(words, "pos", mask, i) for i, mask in enumerate(masks))
+    kinds = ", ".join(f"if({when}, {seed_hash(words, 'pos', mask, i)}, null)" for i, (mask, when) in enumerate(masks.items()))
     return at.selectExpr(*keep, words, "pos", f"stack({len(masks)}, {kinds}) as h").where("h is not null")
 
 
@@ -80,7 +101,6 @@ def contaminated(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
-    masks: Sequence[str] = MASKS,
     overlap: int = 13,
     agree: float = 0.8,
     broadcast_seeds: int = BROADCAST_SEEDS,
@@ -88,22 +108,27 @@ def contaminated(
     """(doc_id, item_id, members, start, n_item, n_aligned, n_matched, coverage), the best alignment of each pair.
 
     ``start`` is the token of the document (from 0; negative if the item begins
-    before it) where the item's first token falls. An item shorter than the
-    longest mask is also searched whole, token for token; one under five tokens
-    is left out. Items of equal tokens are one class: its smallest id, and how
+    before it) where the item's first token falls. An item shorter than
+    ``overlap`` counts as one run of its own length; one under five tokens is
+    left out. Items of equal tokens are one class: its smallest id, and how
     many members it has. Null texts hold nothing; rows without an id are left
     out; a doc_id of several rows counts if any of them matches.
     """
     classes = item_tokens(items, item_id=item_id, text=item_text)
-    longest = max(map(len, masks))
-    lengths = classes.where(f"size(item_words) < {longest}").selectExpr("size(item_words) as n").distinct().collect()
-    masks = [*masks, *("1" * n for n in sorted(r.n for r in lengths))]
+    run = f"least(size(item_words), {overlap})"
+    lengths = defaultdict(list)
+    for n in sorted(r.n for r in classes.selectExpr(f"{run} as n").distinct().collect()):
+        for mask in seed_masks(n, agree):
+            lengths[mask].append(str(n))
+    if not lengths:  # no items: any mask finds nothing
+        lengths["1"].append("0")
+    own = {mask: f"{run} in ({', '.join(of)})" for mask, of in lengths.items()}
     rows = docs.select(quote(doc_id).alias("doc_id"), quote(text).alias("text")).where("doc_id is not null")
     rows = rows.selectExpr("doc_id", f"{tokens()} as words")
-    seeds = positions(classes, "item_words", masks, "item").selectExpr("h", "item", "pos as item_pos")
+    seeds = positions(classes, "item_words", own, "item").selectExpr("h", "item", "pos as item_pos")
     seeds = seeds.groupBy("h", "item").agg(F.collect_set("item_pos").alias("at")).selectExpr("h", "item", "explode(at) as item_pos")
     n_seeds = seeds.count()
-    at = positions(rows, "words", masks, "doc_id")
+    at = positions(rows, "words", dict.fromkeys(own, "true"), "doc_id")
     if n_seeds <= broadcast_seeds:
         # Seeds and items have a checked size: hits are verified where the document is.
         hits = (

@@ -4,7 +4,7 @@ from itertools import combinations
 
 import pytest
 
-from surveyloom.llm.decontaminate import contaminated
+from surveyloom.llm.decontaminate import MASKS, contaminated, seed_masks
 
 RNG = random.Random(3)
 WORDS = ["".join(RNG.choice("abcdefghij") for _ in range(RNG.randint(2, 7))) for _ in range(3000)]
@@ -97,3 +97,18 @@ def test_every_two_substitutions(spark, make):
         assert [r.doc_id for r in got] == list(range(len(texts)))
     weak = [substituted(words, p) for p in combinations(range(13), 3)]
     assert run(spark, make, list(enumerate(weak)), [(1, " ".join(words))]) == []
+
+
+@pytest.mark.parametrize("n, differ", sorted(MASKS))
+def test_masks_fit_every_place(n, differ):
+    fits = [{at + i for i, bit in enumerate(m) if bit == "1"} for m in seed_masks(n, 0.8) for at in range(n - len(m) + 1)]
+    assert all(any(fit.isdisjoint(p) for fit in fits) for p in combinations(range(n), differ))
+
+
+def test_short_items_with_substitutions(spark, make):
+    items = [(n, " ".join(f"i{n}w{i}" for i in range(n))) for n in range(5, 13)]
+    texts = [(n, f"a {substituted(t.split(), p)} b") for n, t in items for p in combinations(range(n), n // 5)]
+    got = run(spark, make, [(d, t) for d, (_, t) in enumerate(texts)], items)
+    assert [(r.doc_id, r.item_id) for r in got] == [(d, n) for d, (n, _) in enumerate(texts)]
+    weak = [f"a {substituted(t.split(), p)} b" for n, t in items for p in combinations(range(n), n // 5 + 1)]
+    assert run(spark, make, list(enumerate(weak)), items) == []
