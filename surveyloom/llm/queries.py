@@ -72,7 +72,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sentencepiece")
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.digests(pieces.encoded(table(spark, sf_dir, "documents"), model))
+    return pieces.piece_digests(table(spark, sf_dir, "documents"), model)
 
 
 @query("op8_decontamination")

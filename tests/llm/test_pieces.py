@@ -1,11 +1,12 @@
 import hashlib
 import random
+from array import array
 
 import public_tokenizers
 import pytest
 import sentencepiece
 
-from surveyloom.llm.pieces import Agenda, digests, encoded
+from surveyloom.llm.pieces import Agenda, encoded, piece_digests
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -16,7 +17,7 @@ def library():
 
 
 def test_equals_library(make, corpus, library):
-    got = {r.doc_id: r for r in digests(encoded(make(corpus), MODEL, verify=True)).collect()}
+    got = {r.doc_id: r for r in piece_digests(make(corpus), MODEL).collect()}
     for i, t in corpus:
         ids = library.encode(t or "", add_eos=True)
         assert got[i].n_tokens == len(ids)
@@ -29,13 +30,37 @@ def test_random_strings(library):
     alphabet = "abcdeth in▁ \n\t.,0129ÄéλЖ漢🙂 ​<s></s>"
     for _ in range(3000):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40)))
-        assert agenda.encode(text)[0] == library.encode(text, add_eos=True), repr(text)
+        ids = library.encode(text, add_eos=True)
+        assert list(agenda.checked([text])) == [(ids, " ".join(map(str, ids)).encode())], repr(text)
 
 
 def test_long_segments(library):
     rng, agenda = random.Random(6), Agenda(MODEL)
     text = "".join(rng.choice("aehnrst") for _ in range(60_000))
-    assert agenda.encode(text)[0] == library.encode(text, add_eos=True)
+    assert [ids for ids, _ in agenda.checked([text])] == [library.encode(text, add_eos=True)]
+    words = {"".join(rng.choice("aehnrsté") for _ in range(rng.randint(1, 40))) for _ in range(6000)}
+    agenda.learn(words)
+    assert {w for w in words if len(w) <= 30} == set(agenda)
+    assert all(agenda[w] == agenda.segment("▁" + w) for w in words)
+
+
+def test_ids_and_texts(make, corpus, library):
+    got = {(r.doc_id, tuple(r.ids), r.decoded) for r in encoded(make(corpus), MODEL).collect()}
+    expected = [(i, library.encode(t or "", add_eos=True)) for i, t in corpus]
+    assert got == {(i, tuple(ids), library.decode(ids)) for i, ids in expected}
+
+
+def test_difference_raises(library):
+    agenda = Agenda(MODEL)
+    agenda["word"] = agenda["other"]
+    assert [ids for ids, _ in agenda.checked(["other words", ""])] == library.encode(["other words", ""], add_eos=True)
+    with pytest.raises(AssertionError):
+        list(agenda.checked(["fine", "a word"]))
+
+
+def test_bytes_that_are_no_text(spark, library):
+    df = spark.createDataFrame([(1, bytearray(b"ab\xff\xfec"))], "doc_id long, text binary").selectExpr("doc_id", "cast(text as string) text")
+    assert list(encoded(df, MODEL).first().ids) == library.encode("ab\ufffd\ufffdc", add_eos=True)
 
 
 def test_empty_and_null(make):
