@@ -14,9 +14,10 @@ once per step, not once per id.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from surveyloom.functions import quote
+from surveyloom.llm.bpe import CHUNK, ODD
 
 #: The coder's format: states stay in [2^31, 2^63), frequencies add up to 2^18.
 LOW, SCALE_BITS = np.uint64(1 << 31), 18
@@ -34,8 +36,8 @@ LANES, BLOCK, SPACING = 32, 1 << 16, 512
 #: Ids after which a shard is closed; about 3 MB coded.
 SHARD_IDS = 2_000_000
 SHARDS_PER_FILE = 8
-#: Distinct chunks of text a task remembers before it starts afresh.
-REMEMBERED = 300_000
+#: Distinct chunks a task remembers before it starts afresh, and code points of texts cut up at a time.
+REMEMBERED, SLICE = 500_000, 500_000
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -140,40 +142,41 @@ def decode_shard(shard: dict, *, lanes: int = LANES, block: int = BLOCK, spacing
     return ids
 
 
-#: Words with the blank before them, full stops and commas after a word, other runs, line ends. The tokenizer
-#: cuts at each of these places: between letters or digits and anything else, before a blank, around a line end.
-CHUNK = re.compile(r" ?[^\W_]+|[.,]+(?!\S)| ?\S+|\n")
+#: Chunks that can stand on a line of their own: white space would join the line end.
+LINE = re.compile(r" ?\S+")
 
 
 class Chunks(dict):
     """Chunk of text → its ids as bytes; each distinct chunk is encoded once per task by the library.
 
-    The tokenizer cuts before a blank that precedes a word and around single
-    line ends. A text that is made of such chunks alone gets their ids; any
-    other (double blanks, tabs, empty lines) is encoded whole. New chunks go to
-    the library as lines of one text, and its line ends part their ids again.
+    The tokenizer cuts between chunks (see ``bpe.CHUNK``), so a text gets its chunks'
+    ids. Texts with added tokens, or with characters whose class is not sure, are
+    encoded whole. New chunks go to the library as lines of one text, and its line
+    ends part their ids again.
     """
 
     def __init__(self, path: str):
         super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.no_truncation()
+        self.library.no_padding()
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)
         line_end = self.whole("\n")
         if len(line_end) != 1 or self.whole("a\n b\nc").tolist().count(line_end[0]) != 2:
             raise ValueError("the tokenizer does not keep line ends apart")
         self.line_end = int(line_end[0])
-        self.seed()
-
-    def seed(self) -> None:
-        self.clear()
-        self["\n"] = np.uint32(self.line_end).tobytes()
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def learn(self, chunks: list[str]) -> None:
-        for k in range(0, len(chunks), 5000):
-            part = chunks[k : k + 5000]
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def learn(self, chunks: Iterable[str]) -> None:
+        fresh = [c for c in chunks if c not in self]
+        lines = [c for c in fresh if LINE.fullmatch(c)]
+        self.update((c, self.whole(c).tobytes()) for c in fresh if not LINE.fullmatch(c))
+        for k in range(0, len(lines), 5000):
+            part = lines[k : k + 5000]
             ids = self.whole("\n".join(part))
             edges = [-1, *np.flatnonzero(ids == self.line_end).tolist(), len(ids)]
             raw = ids.tobytes()
@@ -182,17 +185,24 @@ class Chunks(dict):
                 raise AssertionError("line ends and chunks do not match")
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of every text; ``SLICE`` code points are cut up at a time."""
+        start = size = 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= SLICE or k == len(texts) - 1:
+                yield from self.encode_slice(texts[start : k + 1])
+                start, size = k + 1, 0
+
+    def encode_slice(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self) > REMEMBERED:
-            self.seed()
-        split = [CHUNK.findall(x) for x in texts]
-        plain = ["\n\n" not in x and sum(map(len, c)) == len(x) for x, c in zip(texts, split)]
-        fresh = {c for chunks, ok in zip(split, plain) if ok for c in chunks if c not in self}
-        self.learn(list(fresh))
-        for text, chunks, ok in zip(texts, split, plain):
-            if ok:
-                yield np.frombuffer(b"".join(map(self.__getitem__, chunks)), np.uint32)
-            else:
+            self.clear()
+        cut = [None if self.added.search(x) or ODD.search(x) else CHUNK.findall(x) for x in texts]
+        self.learn(set().union(*(c for c in cut if c)))
+        for text, chunks in zip(texts, cut):
+            if chunks is None:
                 yield self.whole(text)
+            else:
+                yield np.frombuffer(b"".join(map(self.__getitem__, chunks)), np.uint32)
 
 
 SHARD_SCHEMA = (

@@ -10,11 +10,12 @@ from surveyloom.llm import token_files as T
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+ODD = ["ab", "the", " ", " ", "  ", "\n", "\n\n", "\t", "\xa0", "\r", "9", "é", "漢", "'s", "!", ".", " ", "\x1c", "🙂", "<|endoftext|>", "<|END", "Ɤ"]
+
+
 @pytest.fixture(scope="module")
 def library():
-    own = Tokenizer.from_file(PATH)
-    own.encode_special_tokens = True
-    return own
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize("n", [0, 1, 31, 32, 33, 1000, 65_536, 65_537, 140_000])
