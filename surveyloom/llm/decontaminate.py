@@ -3,9 +3,9 @@
 A seed mask picks some positions of a span of tokens and ignores the others, so
 a substituted word at an ignored position does not hide a match. Every position
 of every document is hashed under every mask and joined with the same hashes of
-the benchmark items. A hit fixes an alignment; the item is then compared token
-by token along it, and the alignment counts if some run of ``overlap`` tokens
-agrees in at least ``agree`` of them.
+the benchmark items. A hit fixes an alignment; each distinct alignment is then
+compared token by token, once, and counts if some run of ``overlap`` tokens agrees
+in at least ``agree`` of them.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.functions import quote
+from surveyloom.functions import cut_lineage, quote
 
 #: Seed masks by (tokens of a run, how many may differ): 1 = the token counts, 0 = it may differ.
 #: Whichever tokens differ, one mask fits between or over them (a test enumerates all places).
@@ -32,15 +32,17 @@ MASKS = {
     (6, 1): ("1111", "11011"),
     (5, 1): ("1111", "11101", "11011", "10111"),
 }
-#: Items with fewer tokens are no evidence of anything and are left out.
-MIN_TOKENS = 5
-#: Seeds that may be sent to every task, with their items' tokens; about 100 bytes each.
-BROADCAST_SEEDS = 200_000
+#: Rows (seeds, items or alignments) that may be sent to every task; about 100 bytes each.
+BROADCAST_ROWS = 200_000
+# Scripts written without blanks between words.
+UNSPACED = "[\\\\p{IsHan}\\\\p{IsHiragana}\\\\p{IsKatakana}\\\\p{IsThai}\\\\p{IsLao}\\\\p{IsKhmer}\\\\p{IsMyanmar}]"
 
 
 def tokens(text: str = "text") -> str:
-    """SQL text: lower-cased runs of letters and digits."""
-    return f"array_remove(split(lower(coalesce({text}, '')), '[^\\\\p{{L}}\\\\p{{N}}]+'), '')"
+    """SQL text: lower-cased runs of letters and digits; each character of an unspaced script is a token."""
+    low = f"lower(coalesce({text}, ''))"
+    spaced = f"if({low} rlike '{UNSPACED}', regexp_replace({low}, '({UNSPACED})', ' $1 '), {low})"
+    return f"array_remove(split({spaced}, '[^\\\\p{{L}}\\\\p{{N}}]+'), '')"
 
 
 def seed_masks(run: int, agree: float) -> tuple[str, ...]:
@@ -69,25 +71,28 @@ def item_tokens(items: DataFrame, *, item_id: str, text: str) -> DataFrame:
     """(item, members, item_words): items of equal tokens are one class, named by the smallest id."""
     rows = items.select(quote(item_id).alias("item"), quote(text).alias("text")).selectExpr("item", f"{tokens()} as item_words")
     return (
-        rows.where(f"item is not null and size(item_words) >= {MIN_TOKENS}")
+        rows.where("item is not null and size(item_words) > 0")
         .groupBy("item_words")
         .agg(F.min("item").alias("item"), F.count("*").alias("members"))
     )
 
 
 def verified(hits: DataFrame, overlap: int, agree: float) -> DataFrame:
-    """Hits (words, item_words, start) with n_aligned, n_matched and best run; weak ones go."""
-    same = "transform(sequence(1, size(item_words)), j -> if(start + j - 1 between 1 and size(words), if(words[start + j - 2] = item_words[j - 1], 1, 0), 0))"
+    """Distinct hits (words, item_words, start) with n_aligned, n_matched and best run; weak ones go.
+
+    Work in proportion to the item's tokens times ``overlap``.
+    """
     run = f"least(size(item_words), {overlap})"
-    best = (
-        f"array_max(transform(sequence(1, size(same) - {run} + 1), i -> aggregate(slice(same, i, {run}), 0, (a, b) -> a + b)))"
-    )
+    # The document's token at an item's place; none before its start or past its end.
+    same = "int(if(start + {j} < 2, null, get(words, start + {j} - 2)) <=> item_words[{j} - 1])"
+    within = f"aggregate(sequence(0, {run} - 1), 0, (a, k) -> a + {same.format(j='(i + k)')})"
+    best = f"array_max(transform(sequence(1, size(item_words) - {run} + 1), i -> {within}))"
     return (
-        hits.selectExpr("*", f"{same} as same")
-        .selectExpr("*", f"{best} as best_run", "aggregate(same, 0, (a, b) -> a + b) as n_matched")
+        hits.selectExpr("*", f"{best} as best_run")
         .where(f"best_run >= ceil({agree}D * {run})")
         .selectExpr(
-            "doc_id", "item", "start", "n_matched", "best_run", "size(item_words) as n_item",
+            "doc_id", "item", "start", "best_run", "size(item_words) as n_item",
+            f"aggregate(sequence(1, size(item_words)), 0, (a, j) -> a + {same.format(j='j')}) as n_matched",
             "least(size(words), start + size(item_words) - 1) - greatest(1, start) + 1 as n_aligned",
         )
     )
@@ -103,16 +108,18 @@ def contaminated(
     item_text: str = "text",
     overlap: int = 13,
     agree: float = 0.8,
-    broadcast_seeds: int = BROADCAST_SEEDS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """(doc_id, item_id, members, start, n_item, n_aligned, n_matched, coverage), the best alignment of each pair.
 
     ``start`` is the token of the document (from 0; negative if the item begins
     before it) where the item's first token falls. An item shorter than
-    ``overlap`` counts as one run of its own length; one under five tokens is
-    left out. Items of equal tokens are one class: its smallest id, and how
-    many members it has. Null texts hold nothing; rows without an id are left
-    out; a doc_id of several rows counts if any of them matches.
+    ``overlap`` counts as one run of its own length, so one under five tokens must
+    stand whole; one without tokens finds nothing. Items of equal tokens are one
+    class: its smallest id, and how many members it has. Null texts hold nothing;
+    rows without an id are left out; a doc_id of several rows counts if any of
+    them matches. Seeds and alignments are broadcast up to ``broadcast_rows`` of
+    them, counted, and shuffled beyond.
     """
     classes = item_tokens(items, item_id=item_id, text=item_text)
     run = f"least(size(item_words), {overlap})"
@@ -127,18 +134,15 @@ def contaminated(
     rows = rows.selectExpr("doc_id", f"{tokens()} as words")
     seeds = positions(classes, "item_words", own, "item").selectExpr("h", "item", "pos as item_pos")
     seeds = seeds.groupBy("h", "item").agg(F.collect_set("item_pos").alias("at")).selectExpr("h", "item", "explode(at) as item_pos")
-    n_seeds = seeds.count()
-    at = positions(rows, "words", dict.fromkeys(own, "true"), "doc_id")
-    if n_seeds <= broadcast_seeds:
-        # Seeds and items have a checked size: hits are verified where the document is.
-        hits = (
-            at.join(F.broadcast(seeds), "h")
-            .selectExpr("doc_id", "words", "item", "pos - item_pos + 1 as start")
-            .join(F.broadcast(classes.select("item", "item_words")), "item")
-        )
-    else:
-        found = at.select("doc_id", "pos", "h").join(seeds, "h").selectExpr("doc_id", "item", "pos - item_pos + 1 as start")
-        hits = found.distinct().join(rows, "doc_id").join(classes.select("item", "item_words"), "item")
+    small = lambda table, n: F.broadcast(table) if n <= broadcast_rows else table
+    at = positions(rows, "words", dict.fromkeys(own, "true"), "doc_id").select("doc_id", "pos", "h")
+    hits = at.join(small(seeds, seeds.count()), "h").selectExpr("doc_id", "item", "pos - item_pos + 1 as start")
+    hits = cut_lineage(hits.distinct())  # all seeds of one copy have one start
+    n_hits, n_items = hits.count(), classes.count()
+    # Only the documents that were hit are cut into tokens again.
+    found = docs.select(quote(doc_id).alias("doc_id"), quote(text).alias("text")).join(small(hits, n_hits), "doc_id")
+    found = found.selectExpr("doc_id", "item", "start", f"{tokens()} as words")
+    hits = found.join(small(classes.select("item", "item_words"), n_items), "item")
     best = F.expr("max_by(struct(start, n_item, n_aligned, n_matched), struct(n_matched, best_run, -start))")
     pairs = verified(hits, overlap, agree).groupBy("doc_id", "item").agg(best.alias("b"))
     return pairs.join(classes.select("item", "members"), "item").selectExpr(

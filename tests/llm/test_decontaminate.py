@@ -39,8 +39,8 @@ def test_planted_and_clean(spark, make, items, limit):
         (4, text[3]), (5, "a " + text[4] + " b"), (6, text[5]),
         (7, " ".join(prose(5000))), (8, None), (9, ""), (10, " ".join(text[1].split()[:7] + prose(20))), (None, text[0]),
     ]
-    got = run(spark, make, rows + rows[:1], items, broadcast_seeds=limit)
-    assert [(r.doc_id, r.item_id) for r in got] == [(1, 0), (2, 2), (3, 2), (4, 3), (5, 4)]
+    got = run(spark, make, rows + rows[:1], items, broadcast_rows=limit)
+    assert [(r.doc_id, r.item_id) for r in got] == [(1, 0), (2, 2), (3, 2), (4, 3), (5, 4), (6, 5)]
     first, second, third = got[:3]
     assert (first.members, first.start, first.n_item, first.n_matched, first.coverage) == (2, 200, 30, 30, 1.0)
     assert (second.start, second.n_matched) == (100, 55)
@@ -112,3 +112,48 @@ def test_short_items_with_substitutions(spark, make):
     assert [(r.doc_id, r.item_id) for r in got] == [(d, n) for d, (n, _) in enumerate(texts)]
     weak = [f"a {substituted(t.split(), p)} b" for n, t in items for p in combinations(range(n), n // 5 + 1)]
     assert run(spark, make, list(enumerate(weak)), items) == []
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_long_copies(spark, make, limit):
+    """A copy of thousands of tokens, with substitutions, is compared once, not once per seed."""
+    long, middle = prose(4000), prose(500)
+    edited = [w if i % 9 else "other" for i, w in enumerate(middle)]
+    rows = [(1, " ".join(long)), (2, " ".join(prose(300) + long + prose(300))), (3, " ".join(edited + edited)), (4, " ".join(prose(3000)))]
+    rows += [(10 + i, " ".join(middle)) for i in range(30)]
+    got = {(r.doc_id, r.item_id): r for r in run(spark, make, rows, [(7, " ".join(long)), (8, " ".join(middle))], broadcast_rows=limit)}
+    assert set(got) == {(1, 7), (2, 7), (3, 8), *((10 + i, 8) for i in range(30))}
+    assert (got[2, 7].start, got[2, 7].n_matched) == (300, 4000)
+    assert (got[3, 8].start, got[3, 8].n_matched) == (0, sum(a == b for a, b in zip(middle, edited)))
+
+
+def brute(a, b, overlap=13, agree=0.8):
+    """Best (n_matched, best run, -start) over all alignments of the item b, or None."""
+    need, found = min(len(b), overlap), []
+    for s in range(-len(b), len(a)):
+        same = [0 <= s + j < len(a) and a[s + j] == b[j] for j in range(len(b))]
+        best = max(sum(same[j : j + need]) for j in range(len(b) - need + 1))
+        if best >= agree * need:
+            found.append((sum(same), best, -s - 1))
+    return max(found, default=None)
+
+
+def test_exact_for_items_of_500_tokens(spark, make):
+    """Runs anywhere in long items, with as many substitutions as are allowed: equal to trying every alignment."""
+    rng = random.Random(9)
+    items = [(i, prose(n)) for i, n in enumerate((500, 120, 13, 7))]
+    rows = []
+    for d in range(24):
+        words, source = prose(60), items[d % 4][1]
+        start, n = rng.randrange(max(1, len(source) - 40)), rng.choice([6, 10, 13, 30])
+        part = [w if rng.random() < 0.85 else "zz" for w in source[start : start + n]]
+        rows.append((d, words[:20] + part + words[20:]))
+    got = {(r.doc_id, r.item_id): (r.n_matched, r.start) for r in run(spark, make, [(d, " ".join(w)) for d, w in rows], [(i, " ".join(w)) for i, w in items])}
+    expected = {(d, i): brute(a, b) for d, a in rows for i, b in items}
+    assert got == {k: (v[0], -v[2] - 1) for k, v in expected.items() if v} and len(got) > 5
+
+
+def test_unspaced_and_short_items(spark, make):
+    items = [(1, "日本語の質問です"), (2, "yes no"), (3, "คำถามภาษาไทย"), (4, "?!")]
+    rows = [(1, "これは日本語の質問ですか"), (2, "say yes: no more"), (3, "yes and no"), (4, "ดูคำถามภาษาไทยนี้"), (5, "日本の言語"), (6, "?!")]
+    assert [(r.doc_id, r.item_id) for r in run(spark, make, rows, items)] == [(1, 1), (2, 2), (4, 3)]
