@@ -58,15 +58,20 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     return narrow.mapInArrow(hashed, "doc_id long, fp long")
 
 
+def signed(x: int) -> int:
+    """The signed 64-bit number of the same bits."""
+    return x - (1 << 64) if x >> 63 else x
+
+
 def segment_masks(segments: int, radius: int) -> list[tuple[int, int, list[int]]]:
-    """(first bit, mask, flips) per segment; flips enumerate its ball of radius // segments bits."""
+    """(first bit, mask, flips) per segment; flips enumerate its ball of radius // segments bits; all signed."""
     edges = [round(64 * i / segments) for i in range(segments + 1)]
     out = []
     for low, high in zip(edges, edges[1:]):
         flips = [
-            sum(1 << b for b in bits) for k in range(radius // segments + 1) for bits in combinations(range(high - low), k)
+            signed(sum(1 << b for b in bits)) for k in range(radius // segments + 1) for bits in combinations(range(high - low), k)
         ]
-        out.append((low, (1 << (high - low)) - 1, flips))
+        out.append((low, signed((1 << (high - low)) - 1), flips))
     return out
 
 
@@ -76,12 +81,12 @@ def fingerprint_links(distinct: DataFrame, *, radius: int = 2, segments: int = 2
     A pair that several probes find is returned as often.
     """
     masks = segment_masks(segments, radius)
-    cut = "cast(shiftrightunsigned(fp, {low}) & {mask}L as bigint)"
+    cut = "cast(shiftrightunsigned(fp, {low}) & cast('{mask}' as bigint) as bigint)"
     table = ", ".join(f"struct({i} as seg, {cut.format(low=low, mask=mask)} as val)" for i, (low, mask, _) in enumerate(masks))
     table = distinct.selectExpr("fp as other", f"inline(array({table}))")
     probes = [
         distinct.selectExpr("fp as pid", f"{i} as seg", f"{cut.format(low=low, mask=mask)} as own")
-        .selectExpr("pid", "seg", "own", "explode(array(" + ", ".join(f"{x}L" for x in flips) + ")) as flip")
+        .selectExpr("pid", "seg", "own", "explode(array(" + ", ".join(f"cast('{x}' as bigint)" for x in flips) + ")) as flip")
         .selectExpr("pid", "seg", "own ^ flip as val")
         for i, (low, mask, flips) in enumerate(masks)
     ]
@@ -113,8 +118,11 @@ def near_duplicates(
     linked = labels.join(degree, "pid").join(distinct.withColumnRenamed("fp", "pid"), "pid")
     roots = linked.groupBy("label").agg(F.min("first").alias("component_id"))
     found = linked.join(roots, "label").select(F.col("pid").alias("fp"), "component_id", "n_links")
-    classes = distinct.join(found, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    # Written out, so that the join shuffles both sides itself and can split the rows of a very common fingerprint.
+    classes = cut_lineage(
+        distinct.join(found, "fp", "left").select(
+            "fp", F.coalesce("component_id", "first").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        )
     )
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id", "n_links")
 
