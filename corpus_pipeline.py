@@ -23,9 +23,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of at least 20 characters that three or more documents hold stay in the largest doc_id."""
-    carry = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    kept = lines.dedup_lines(docs, carry=carry).withColumn("n_chars", F.length("text").cast("long"))
-    return kept.select(*docs.columns)
+    # The other columns travel under names of their own, whatever they are called.
+    held = {c: f"held_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    kept = lines.dedup_lines(docs.withColumnsRenamed(held), carry=list(held.values()))
+    back = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(held.get(c, c)).alias(c) for c in docs.columns]
+    return kept.select(*back)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

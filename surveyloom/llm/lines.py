@@ -77,10 +77,12 @@ def dedup_lines(
     lost = (
         pairs.join(frequent, "h").where("doc_id < keeper").groupBy("doc_id").agg(F.collect_set("h").alias("lost"))
     )
+    held = [f"carried_{i}" for i in range(len(carry))]  # names of their own: none can clash
     wide = docs.select(
-        quote(doc_id).cast("long").alias("doc_id"), quote(text).cast("binary").alias("text"), *map(quote, carry)
-    )
-    joined = wide.join(lost, "doc_id", "left").select("doc_id", "text", "lost", *map(quote, carry))
+        quote(doc_id).cast("long").alias("doc_id"), quote(text).cast("binary").alias("text"),
+        *[quote(c).alias(h) for c, h in zip(carry, held)],
+    )
+    joined = wide.join(lost, "doc_id", "left").select("doc_id", "text", "lost", *held)
 
     def reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,10 +98,9 @@ def dedup_lines(
             yield pa.record_batch(
                 [batch.column(0), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n_lines, pa.int64()),
                  pa.array(n_dropped, pa.int64()), *batch.columns[3:]],
-                ["doc_id", "text", "n_lines", "n_dropped", *carry],
+                ["doc_id", "text", "n_lines", "n_dropped", *held],
             )
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in wide.select(*map(quote, carry)).schema] if carry else []
-    return joined.mapInArrow(
-        reassemble, ", ".join(["doc_id long", "text string", "n_lines long", "n_dropped long", *kinds])
-    )
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in wide.schema[2:]]
+    out = joined.mapInArrow(reassemble, ", ".join(["doc_id long", "text string", "n_lines long", "n_dropped long", *kinds]))
+    return out.toDF("doc_id", "text", "n_lines", "n_dropped", *carry)

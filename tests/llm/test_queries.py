@@ -38,3 +38,34 @@ def test_pipeline(spark):
     ids = {r.doc_id for r in final.collect()}
     assert ids <= {i for i, _ in unique}
     assert {i for i, t in unique if any(x in t.lower() for x in leaks)} == {i for i, _ in unique} - ids
+
+
+def odd_documents(spark, tmp_path):
+    """documents with nulls, repeated rows, a long text, and columns named like the stages' own."""
+    rows = [(1, None), (2, ""), (3, "a short text"), (3, "a short text"), (None, "no id"), (None, None), (4, "word " * 40_000), (5, "日本語 🙂")]
+    rows += [(10 + i, f"some line that is long enough to count\nand number {i} of its own") for i in range(5)]
+    names = "doc_id long, text string, n_lines long, lost string, n_dropped int, h string, fp long, words string, label string, score double"
+    wide = [(i, t, 7, "x", 1, "h", 2, "w", None, 0.5) for i, t in rows]
+    spark.createDataFrame(wide, names).write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    return spark.read.parquet(str(tmp_path / "documents.parquet"))
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES[1:]])
+def test_stage_on_odd_rows_and_empty_tables(spark, tmp_path, name):
+    docs, stage = odd_documents(spark, tmp_path), dict(corpus_pipeline.STAGES)[name]
+    got = stage(spark, docs, str(tmp_path))
+    rows = got.collect()
+    assert stage(spark, docs.limit(0), str(tmp_path)).isEmpty()
+    if name == "sentencepiece":
+        assert len(rows) == docs.count() and all(r.n_tokens == len(r.ids) for r in rows)
+        return
+    assert got.columns == docs.columns
+    if name == "line_dedup":
+        assert len(rows) == docs.count() and all((r.n_lines, r.lost, r.n_dropped) == (7, "x", 1) for r in rows)
+        assert {r.doc_id for r in rows if r.text and "long enough" in r.text} == {14}
+    elif name == "simhash_near_dedup":
+        assert sorted(r.doc_id for r in rows if r.doc_id is not None)[:4] == [1, 3, 3, 4]
+    else:
+        assert len(rows) == docs.count()
