@@ -13,9 +13,9 @@ from surveyloom.catalog.registry import query, table
 from surveyloom.catalog.tables import STRATIFIED_CTE, rounded, split_survey
 from surveyloom.catalog.views import CLEAN_CTE, clean_survey
 from surveyloom.config import SEVERITY_EDGES, SEVERITY_LABELS, SurveyConfig
-from surveyloom.functions import scratch_path
 from surveyloom.operators import evaluate, models, report
 from surveyloom.operators.cluster.assign import as_vectors
+from surveyloom.operators.forest import node_table
 from surveyloom.plans import supervised
 
 CONFIG = SurveyConfig()
@@ -264,4 +264,4 @@ def _tree_nodes(spark, sf_dir):
     p = prepared(spark, sf_dir)
     train = models.training_vectors(p.train, p.columns, p.label, p.classes)
     tree = models.fit_decision_tree_clf(train, CONFIG)
-    return models.tree_nodes(tree, p.columns, spark, scratch_path(spark, "tree"))
+    return node_table(tree, p.columns)

@@ -52,8 +52,7 @@ class SurveyConfig:
     min_eps: float = 0.5
     micro_clusters: int = 500
     n_trees: int = 100
-    max_depth: int = 30  # the deepest Spark grows
-    forest_depth: int = 30
+    whole_rows: int = 20_000  # nodes of so many rows are finished in one task
     boosting_rounds: int = 100
     rbf_features: int = 256
     num_kernels: int = 3

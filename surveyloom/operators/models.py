@@ -1,4 +1,4 @@
-"""Regressors and classifiers on Spark ML, with the reference parameters.
+"""Regressors and classifiers with the published parameters, on Spark ML and ``forest``.
 
 Every ``fit_*`` takes a training table with a ``features`` vector, the target
 column and, for classifiers, an indexed ``y_index`` and a ``weight``; it returns a
@@ -14,20 +14,17 @@ from math import factorial
 import numpy as np
 import pandas as pd
 from pyspark.ml import Transformer
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
-)
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import (
-    DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
-)
-from pyspark.sql import DataFrame
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.config import SurveyConfig
 from surveyloom.functions import ident, local_table, quote
 from surveyloom.operators.cluster.assign import as_vectors
 from surveyloom.operators.features import class_counts
+from surveyloom.operators.forest import Forest, Plan, grow
 
 MAX_BINS = 256
 
@@ -118,10 +115,9 @@ def _mapped(df: DataFrame, columns: Sequence[str], udf, keep: Sequence[str]) ->
     return df.select(*[quote(k) for k in keep], array_to_vector(udf(*inputs)).alias("features"))
 
 
-def _for_trees(train: DataFrame) -> DataFrame:
-    """Deep trees find their splits per partition, so give every core one."""
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    return train.repartition(cores) if train.rdd.getNumPartitions() < cores else train
+def _key(train: DataFrame, config: SurveyConfig) -> Column:
+    """What names a row for its bootstrap draws: the study's key, or the features where it is left out."""
+    return quote(config.key) if config.key in train.columns else vector_to_array("features")
 
 
 # ── regressors ──────────────────────────────────────────────────────────────
@@ -131,15 +127,13 @@ def fit_linear_regression(train: DataFrame, target: str, config: SurveyConfig =
     return LinearRegression(labelCol=target, regParam=0.0, solver="normal").fit(train)
 
 
-def fit_decision_tree_reg(train: DataFrame, target: str, config: SurveyConfig = SurveyConfig()) -> Transformer:
-    return DecisionTreeRegressor(labelCol=target, maxDepth=config.max_depth, maxBins=MAX_BINS, seed=config.seed).fit(_for_trees(train))
+def fit_decision_tree_reg(train: DataFrame, target: str, config: SurveyConfig = SurveyConfig()) -> Forest:
+    return grow(train, target, Plan(seed=config.seed, whole=config.whole_rows), key=_key(train, config))
 
 
-def fit_random_forest_reg(train: DataFrame, target: str, config: SurveyConfig = SurveyConfig()) -> Transformer:
-    return RandomForestRegressor(
-        labelCol=target, numTrees=config.n_trees, featureSubsetStrategy="all", maxDepth=config.forest_depth,
-        maxBins=MAX_BINS, seed=config.seed,
-    ).fit(_for_trees(train))
+def fit_random_forest_reg(train: DataFrame, target: str, config: SurveyConfig = SurveyConfig()) -> Forest:
+    plan = Plan(n_trees=config.n_trees, draw=True, seed=config.seed, whole=config.whole_rows)
+    return grow(train, target, plan, key=_key(train, config))
 
 
 def fit_gradient_boosting_reg(train: DataFrame, target: str, config: SurveyConfig = SurveyConfig()) -> Transformer:
@@ -166,17 +160,22 @@ def fit_logistic_regression(train: DataFrame, config: SurveyConfig = SurveyConfi
     ).fit(train)
 
 
-def fit_decision_tree_clf(train: DataFrame, config: SurveyConfig = SurveyConfig()) -> Transformer:
-    return DecisionTreeClassifier(
-        labelCol="y_index", weightCol="weight", impurity="gini", maxDepth=config.max_depth, maxBins=MAX_BINS, seed=config.seed
-    ).fit(_for_trees(train))
+def _classes(train: DataFrame) -> int:
+    return int(train.agg(F.max("y_index")).first()[0] or 0) + 1
 
 
-def fit_random_forest_clf(train: DataFrame, config: SurveyConfig = SurveyConfig()) -> Transformer:
-    return RandomForestClassifier(
-        labelCol="y_index", weightCol="weight", numTrees=config.n_trees, featureSubsetStrategy="sqrt",
-        maxDepth=config.forest_depth, maxBins=MAX_BINS, seed=config.seed,
-    ).fit(_for_trees(train))
+def fit_decision_tree_clf(train: DataFrame, config: SurveyConfig = SurveyConfig()) -> Forest:
+    plan = Plan(classes=_classes(train), seed=config.seed, whole=config.whole_rows)
+    return grow(train, "y_index", plan, key=_key(train, config), weight="weight")
+
+
+def fit_random_forest_clf(train: DataFrame, config: SurveyConfig = SurveyConfig()) -> Forest:
+    width = train.select(F.size(vector_to_array("features"))).first()[0]
+    plan = Plan(
+        n_trees=config.n_trees, draw=True, max_features=max(1, int(width**0.5)), classes=_classes(train), seed=config.seed,
+        whole=config.whole_rows,
+    )
+    return grow(train, "y_index", plan, key=_key(train, config), weight="weight")
 
 
 def fit_gradient_boosting_clf(train: DataFrame, config: SurveyConfig = SurveyConfig()) -> Transformer:
@@ -223,39 +222,12 @@ def predict(model: Transformer, df: DataFrame, name: str, *, key: str, split: st
 
 # ── inspection ──────────────────────────────────────────────────────────────
 
-def feature_importance_topn(model, columns: Sequence[str], spark, *, top: int = 20) -> DataFrame:
+def feature_importance_topn(model: Forest, columns: Sequence[str], spark, *, top: int = 20) -> DataFrame:
     """Impurity importances, highest first, at most ``top``."""
-    values = model.featureImportances.toArray()
-    ranked = sorted(zip(columns, map(float, values)), key=lambda cv: -cv[1])[: min(top, len(columns))]
+    ranked = sorted(zip(columns, map(float, model.importances())), key=lambda cv: -cv[1])[: min(top, len(columns))]
     return local_table(spark, [(i + 1, c, v) for i, (c, v) in enumerate(ranked)], "position int, feature string, importance double")
 
 
-def tree_nodes(model, columns: Sequence[str], spark, path: str, *, max_depth: int = 4) -> DataFrame:
-    """The tree down to ``max_depth`` as rows: split feature, threshold, impurity, rows, value.
-
-    The fitted model is saved to ``path`` and its node table read back; depth is
-    found by at most ``max_depth`` joins on the child ids.
-    """
-    model.write().overwrite().save(path)
-    nodes = spark.read.load(f"{path}/data")
-    if "nodeData" in nodes.columns:
-        nodes = nodes.select("nodeData.*")
-    level = nodes.where("id = 0").withColumn("depth", F.lit(0))
-    found = level
-    for depth in range(1, max_depth + 1):
-        children = level.where("leftChild >= 0").selectExpr("inline(array(struct(leftChild as id), struct(rightChild as id)))")
-        level = nodes.join(F.broadcast(children), "id").withColumn("depth", F.lit(depth))
-        found = found.unionByName(level)
-    names = ", ".join(f"'{c}'" for c in columns)
-    return found.selectExpr(
-        "id", "depth",
-        f"if(leftChild >= 0, array({names})[split.featureIndex], null) as feature",
-        "if(leftChild >= 0, split.leftCategoriesOrThreshold[0], null) as threshold",
-        "impurity", "rawCount as samples", "prediction as value",
-        "if(leftChild >= 0, leftChild, null) as left_child", "if(leftChild >= 0, rightChild, null) as right_child",
-    )
-
-
 def simple_linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """(slope, intercept, r2) of a one-feature least-squares line: one aggregate."""
     return df.selectExpr(

@@ -85,7 +85,7 @@ def classification_predictions(p: Prepared, config: SurveyConfig = SurveyConfig(
             mapped = lambda t, keep: models.rbf_map(t, p.columns, gamma, size=config.rbf_features, seed=config.seed, keep=keep)
         else:
             mapped = lambda t, keep: as_vectors(t, p.columns, keep=keep)
-        train = mapped(labelled, ["y_index", "weight"]).persist()
+        train = mapped(labelled, [p.key, "y_index", "weight"]).persist()
         fit = models.CLASSIFIERS.get(name, models.fit_svm)
         table = _held_out_predictions(fit(train, config), mapped, p, name)
         train.unpersist()
