@@ -14,7 +14,7 @@ from math import factorial
 import numpy as np
 import pandas as pd
 from pyspark.ml import Transformer
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from surveyloom.config import SurveyConfig
 from surveyloom.functions import ident, local_table, quote
+from surveyloom.operators.boosting import SoftmaxBoosting, fit_softmax_boosting
 from surveyloom.operators.cluster.assign import as_vectors
 from surveyloom.operators.features import class_counts
 from surveyloom.operators.forest import Forest, Plan, grow
@@ -178,12 +179,9 @@ def fit_random_forest_clf(train: DataFrame, config: SurveyConfig = SurveyConfig(
     return grow(train, "y_index", plan, key=_key(train, config), weight="weight")
 
 
-def fit_gradient_boosting_clf(train: DataFrame, config: SurveyConfig = SurveyConfig()) -> Transformer:
-    """One boosted model per class (Spark's own is binary), trained side by side."""
-    booster = GBTClassifier(
-        maxIter=config.boosting_rounds, stepSize=0.1, maxDepth=3, maxBins=MAX_BINS, seed=config.seed
-    )
-    return OneVsRest(classifier=booster, labelCol="y_index", parallelism=8).fit(train)
+def fit_gradient_boosting_clf(train: DataFrame, config: SurveyConfig = SurveyConfig()) -> SoftmaxBoosting:
+    """Softmax boosting: all classes' trees of a round follow joint gradients."""
+    return fit_softmax_boosting(train, "y_index", _classes(train), rounds=config.boosting_rounds, whole=config.whole_rows)
 
 
 def fit_svm(train: DataFrame, config: SurveyConfig = SurveyConfig(), *, balanced: bool = True) -> Transformer:
