@@ -197,12 +197,13 @@ class Agenda(dict):
             self.clear()
         split = [self.library.normalize(x).split(SPACE) for x in texts]
         # Texts of single space marks, the first one in front, are their words; others are cut piece by piece.
-        plain = [not self.crosses and not words[0] and "" not in words[1:] for words in split]
-        self.learn({w for words, ok in zip(split, plain) if ok for w in words})
+        plain = [not self.crosses and not words[0] and words.count("") == 1 for words in split]
+        self.learn(set().union(*(words for words, ok in zip(split, plain) if ok)))
         end = array("I", [self.end]).tobytes()
         for words, ok in zip(split, plain):
             if ok:
-                yield b"".join([self[w] for w in words[1:]]) + end
+                del words[0]
+                yield b"".join(map(self.__getitem__, words)) + end
             else:
                 yield b"".join([self.segment(part) for part in self.cut.findall(SPACE.join(words))]) + end
 
