@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surveyloom.functions import local_table
+
 METRIC_COLUMNS = ["task", "model", "split", "class", "metric", "value"]
 MAX_REPORT_ROWS = 100_000
 
@@ -42,18 +44,19 @@ def metrics_to_json(metrics: DataFrame) -> DataFrame:
 
 
 def write_metrics_document(metrics: DataFrame, path: str, *, extra: dict[str, Any] | None = None) -> dict:
-    """Write one indented JSON document, task → model → split → metric.
+    """Write one indented JSON document, task → model → split → metric, as the one text file in ``path``.
 
-    The long table holds one row per model, split, class and metric, so it is
-    small by construction; a larger one is refused rather than truncated.
+    Spark writes it, so any file system it reaches will do. The long table holds
+    one row per model, split, class and metric, so it is small by construction; a
+    larger one is refused rather than truncated.
     """
     rows = metrics.select(*METRIC_COLUMNS).limit(MAX_REPORT_ROWS + 1).collect()
     if len(rows) > MAX_REPORT_ROWS:
         raise ValueError("metrics table too large for one document; use write_metrics_json")
     document = nest_metrics(rows)
     document.update(extra or {})
-    with open(path, "w", encoding="utf-8") as out:
-        json.dump(document, out, indent=4)
+    text = local_table(metrics.sparkSession, [(json.dumps(document, indent=4),)], "value string")
+    text.coalesce(1).write.mode("overwrite").text(path)
     return document
 
 
