@@ -18,7 +18,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from surveyloom.functions import doubles, ident, literal, local_table, text_literal
+from surveyloom.functions import complete, doubles, ident, literal, local_table, quote, text_literal
+from surveyloom.operators.dominance import dominators
 from surveyloom.operators.models import monomials
 
 
@@ -296,42 +297,25 @@ def ideal_kernel(df: DataFrame, key: str, label: str, anchors: DataFrame) -> Dat
 
 # ── dominance weights ───────────────────────────────────────────────────────
 
-RANK_BLOCK = 4_096
+#: Points compared directly in one group (see ``dominance``).
+RANK_BLOCK = 1_024
 
 
 def dominance_rank(df: DataFrame, key: str, directions: dict[str, int], *, out: str = "rank") -> DataFrame:
     """(key, rank): how many rows are at least as good in every metric, self included.
 
-    Equal rows are collapsed with their count, and the distinct ones compared in
-    block pairs, each emitting one number per row.
+    Equal rows are collapsed with their count. Rows with a null or NaN metric have
+    no rank and are not counted.
     """
     names = list(directions)
-    signed = df.selectExpr(ident(key), *[f"{ident(m)} * {d} as {ident(m)}" for m, d in directions.items()])
-    distinct = signed.groupBy(*[F.col(ident(m)) for m in names]).agg(F.count("*").alias("n_"))
-    blocks = max(1, -(-distinct.count() // RANK_BLOCK))
-    spread = (
-        distinct.withColumn("block", F.expr(f"pmod(xxhash64({', '.join(ident(m) for m in names)}), {blocks})"))
-        .withColumn("other", F.expr(f"explode(sequence(0L, {blocks - 1}L))"))
-        .selectExpr("*", "inline(array(struct(block as a, other as b, true as ranked), struct(other as a, block as b, false as ranked)))")
+    # Positions name the metrics inside, so no name can clash with the key.
+    to = [f"m{i}_" for i in range(len(names))]
+    signed = complete(
+        df.select(quote(key).alias("key_"), *[(quote(m).cast("double") * d).alias(t) for (m, d), t in zip(directions.items(), to)]), to
     )
-
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        mine, rival = pdf[pdf["ranked"]], pdf[~pdf["ranked"]]
-        x, y = mine[names].to_numpy(dtype="float64"), rival[names].to_numpy(dtype="float64")
-        weight = rival["n_"].to_numpy()
-        better = np.ones((len(x), len(y)), dtype=bool)
-        for j in range(len(names)):
-            better &= y[:, j] >= x[:, j : j + 1]
-        return mine[names].assign(part_=(better @ weight).astype("int64"))
-
-    schema = ", ".join(f"{ident(m)} double" for m in names) + ", part_ long"
-    cast = ["a", "b", "ranked", "n_", *[f"cast({ident(m)} as double) as {ident(m)}" for m in names]]
-    ranks = (
-        spread.selectExpr(*cast).groupBy("a", "b").applyInPandas(count, schema)
-        .groupBy(*[F.col(ident(m)) for m in names]).agg(F.sum("part_").alias(out))
-    )
-    cast_keys = signed.selectExpr(ident(key), *[f"cast({ident(m)} as double) as {ident(m)}" for m in names])
-    return cast_keys.join(ranks, names).select(key, out)
+    distinct = signed.groupBy(*to).agg(F.count("*").alias("n_"))
+    ranks = dominators(distinct, to, weight="n_", block=RANK_BLOCK, out="rank_")
+    return signed.join(ranks, to).select(F.col("key_").alias(key), F.col("rank_").alias(out))
 
 
 def rank_weights(df: DataFrame, rank: str, *, power: float = 1, out: str = "weight") -> DataFrame:
