@@ -50,7 +50,7 @@ class SurveyConfig:
     plot_rows: int = 50_000
     min_points: int = 5
     min_eps: float = 0.5
-    micro_clusters: int = 500
+    micro_clusters: int = 1_000
     n_trees: int = 100
     whole_rows: int = 20_000  # nodes of so many rows are finished in one task
     boosting_rounds: int = 100
