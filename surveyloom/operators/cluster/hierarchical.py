@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.functions import complete, cut_lineage, doubles, ident
-from surveyloom.operators.cluster.assign import matrix, nearest_centroid
+from surveyloom.operators.cluster.assign import matrix, nearest_centroid, spread
 
 #: Features a set is condensed to; sets of features condensed together.
-MICRO_CLUSTERS, FAN_IN = 1_000, 8
+MICRO_CLUSTERS, FAN_IN = 500, 4
 #: Entries of a distance block.
 BLOCK_ENTRIES = 2_000_000
 
@@ -45,9 +45,13 @@ def _cheapest(c: np.ndarray, n: np.ndarray, draw: np.ndarray) -> tuple[np.ndarra
         block = merge_costs(c[rows], n[rows], c, n)
         block[rows - a, rows] = np.inf
         low = block.min(axis=1)
+        partner[rows], cost[rows] = block.argmin(axis=1), low
         # Ties are few but for lattice-like data, where the draw keeps the rounds few.
-        tied = np.where(block == low[:, None], draw[rows, None] ^ draw[None, :], np.iinfo(np.int64).max)
-        partner[rows], cost[rows] = tied.argmin(axis=1), low
+        ties = block == low[:, None]
+        many = np.flatnonzero(ties.sum(axis=1) > 1)
+        if len(many):
+            order = np.where(ties[many], draw[rows[many], None] ^ draw[None, :], np.iinfo(np.int64).max)
+            partner[rows[many]] = order.argmin(axis=1)
     return partner, cost
 
 
@@ -136,7 +140,8 @@ def features_of(df: DataFrame, columns: Sequence[str], micro: int, *, seed: int
             for a in range(0, len(rows), micro):
                 new, count, _ = condense(rows[a : a + micro], np.ones(len(rows[a : a + micro])), micro, seed=seed)
                 if limit > 0:  # some rows cost no more to take in than the merges made so far
-                    cost = merge_costs(new, count, x, n)
+                    apart = np.maximum((new * new).sum(axis=1)[:, None] + (x * x).sum(axis=1) - 2 * new @ x.T, 0)
+                    cost = apart * (count[:, None] * n / (count[:, None] + n))
                     near = cost.argmin(axis=1)
                     close = cost[np.arange(len(new)), near] <= limit
                     taken = np.bincount(near[close], weights=count[close], minlength=len(x))
@@ -158,7 +163,7 @@ def features_of(df: DataFrame, columns: Sequence[str], micro: int, *, seed: int
         return table(int(pdf["piece_"].iloc[0]) // FAN_IN, x, n)
 
     rows = complete(doubles(df, names), names).selectExpr(*[f"{ident(c)} as {x}" for c, x in zip(names, inside)])
-    found = cut_lineage(rows.mapInPandas(scan, schema))
+    found = cut_lineage(spread(rows).mapInPandas(scan, schema))
     last = found.agg(F.max("piece_")).first()[0]
     while last:
         found = cut_lineage(found.groupBy(F.expr(f"piece_ div {FAN_IN}")).applyInPandas(joined, schema))
@@ -181,6 +186,6 @@ def agglomerative(
     if not len(means):
         return df.select(key, F.lit(None).cast("int").alias("cluster"))
     merged = F.array(*[F.lit(int(c)) for c in ward_merge(means, sizes, k, seed=seed)])
-    near = nearest_centroid(df, columns, means.tolist(), out="micro_")
+    near = nearest_centroid(spread(df), columns, means.tolist(), out="micro_")
     # Folded into the search for the nearest centre, a plain index would also be tried where there is none.
     return near.select(key, F.get(merged, F.col("micro_")).alias("cluster"))
