@@ -8,6 +8,7 @@ transformer.  ``predict`` turns any of them into a prediction table.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from itertools import combinations_with_replacement
 from math import factorial
 
@@ -21,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyloom.config import SurveyConfig
-from surveyloom.functions import ident, local_table, quote
+from surveyloom.functions import complete, doubles, hash52, ident, local_table, quote
+from surveyloom.functions.columns import HASH52_RANGE
 from surveyloom.operators.boosting import SoftmaxBoosting, fit_softmax_boosting
 from surveyloom.operators.cluster.assign import as_vectors
 from surveyloom.operators.features import class_counts
@@ -111,6 +113,75 @@ def fourier_features(x: np.ndarray, omega: np.ndarray) -> np.ndarray:
     return np.hstack([np.cos(angle), np.sin(angle)]) / np.sqrt(omega.shape[1])
 
 
+@dataclass(frozen=True)
+class Nystroem:
+    """A Nyström map of exp(−γ‖x−z‖²): kernel values with the landmarks, times K_mm^(−1/2)."""
+
+    landmarks: np.ndarray
+    root: np.ndarray
+    gamma: float
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return rbf_kernel(x, self.landmarks, self.gamma) @ self.root
+
+
+def rbf_kernel(x: np.ndarray, y: np.ndarray, gamma: float) -> np.ndarray:
+    apart = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * x @ y.T
+    return np.exp(-gamma * np.maximum(apart, 0))
+
+
+def nystroem_from(landmarks: np.ndarray, gamma: float) -> Nystroem:
+    values, vectors = np.linalg.eigh(rbf_kernel(landmarks, landmarks, gamma))
+    held = values > 1e-10 * max(values.max(initial=0.0), 1e-300)
+    return Nystroem(landmarks, vectors[:, held] / np.sqrt(values[held]), gamma)
+
+
+def fit_nystroem(df: DataFrame, columns: Sequence[str], gamma: float, *, key: str, size: int = 256, ridge: float = 1e-6, seed: int = 42) -> Nystroem:
+    """Landmarks from all rows, in two draws fixed by the keys and the seed.
+
+    Half are drawn alike from all rows, so that dense regions are covered. They give
+    every row a ridge leverage score in one pass: what is left of k(x, x) after
+    ridge regression on them. The other half is drawn by that score, from the
+    regions the first half misses. Only ``size`` and 2 × ``size`` drawn rows reach
+    the driver. Copies count as one landmark; rows with a null or NaN feature are
+    no landmarks.
+    """
+    names = list(columns)
+    inside = [f"x{j}_" for j in range(len(names))]
+    rows = complete(doubles(df, names, keep=[key]), names).selectExpr(
+        f"{hash52(key, seed)} as draw_", f"(1 + {hash52(key, f'{seed}-landmark')}) / {HASH52_RANGE + 1}D as u_",
+        *[f"{ident(c)} as {x}" for c, x in zip(names, inside)],
+    )
+    first = rows.orderBy("draw_", *inside).limit(size).select(*inside).toPandas().drop_duplicates()
+    if first.empty:
+        raise ValueError("no complete row to draw landmarks from")
+    even = first.to_numpy(dtype="float64")[: max(1, size // 2)]
+    solve = np.linalg.inv(rbf_kernel(even, even, gamma) + ridge * np.eye(len(even)))
+
+    @F.pandas_udf("double")
+    def left_over(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for series in batches:
+            k = rbf_kernel(np.column_stack([s.to_numpy(dtype="float64") for s in series]), even, gamma)
+            yield pd.Series(np.maximum(1 - ((k @ solve) * k).sum(axis=1), 1e-12))
+
+    # The smallest −ln(u) / score are a draw without replacement by score.
+    scored = rows.withColumn("score_", left_over(*[F.col(x) for x in inside])).withColumn("turn_", F.expr("-ln(u_) / score_"))
+    drawn = scored.orderBy("turn_", *inside).limit(2 * size).select(*inside).toPandas().to_numpy(dtype="float64")
+    both = pd.DataFrame(np.vstack([even, drawn])).drop_duplicates().to_numpy()
+    return nystroem_from(both[:size], gamma)
+
+
+def nystroem_map(df: DataFrame, columns: Sequence[str], fitted: Nystroem, *, keep: Sequence[str]) -> DataFrame:
+    """``features`` whose inner product approximates exp(−γ‖x−z‖²), exactly so between landmarks."""
+
+    @F.pandas_udf("array<double>")
+    def near(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for series in batches:
+            yield pd.Series(list(fitted(np.column_stack([s.to_numpy(dtype="float64") for s in series]))))
+
+    return _mapped(df, columns, near, keep)
+
+
 def _mapped(df: DataFrame, columns: Sequence[str], udf, keep: Sequence[str]) -> DataFrame:
     inputs = [F.expr(f"cast({ident(c)} as double)") for c in columns]
     return df.select(*[quote(k) for k in keep], array_to_vector(udf(*inputs)).alias("features"))

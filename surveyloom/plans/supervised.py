@@ -82,7 +82,8 @@ def classification_predictions(p: Prepared, config: SurveyConfig = SurveyConfig(
             mapped = lambda t, keep: models.cubic_map(t, p.columns, gamma, keep=keep)
         elif name == "SVM_RBF":
             gamma = models.gamma_scale(p.train, p.columns)
-            mapped = lambda t, keep: models.rbf_map(t, p.columns, gamma, size=config.rbf_features, seed=config.seed, keep=keep)
+            fitted = models.fit_nystroem(p.train, p.columns, gamma, key=p.key, size=config.rbf_features, seed=config.seed)
+            mapped = lambda t, keep: models.nystroem_map(t, p.columns, fitted, keep=keep)
         else:
             mapped = lambda t, keep: as_vectors(t, p.columns, keep=keep)
         train = mapped(labelled, [p.key, "y_index", "weight"]).persist()
