@@ -7,7 +7,7 @@ transformer.  ``predict`` turns any of them into a prediction table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 from math import factorial
@@ -18,7 +18,7 @@ from pyspark.ml import Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyloom.config import SurveyConfig
@@ -130,10 +130,24 @@ def rbf_kernel(x: np.ndarray, y: np.ndarray, gamma: float) -> np.ndarray:
     return np.exp(-gamma * np.maximum(apart, 0))
 
 
-def nystroem_from(landmarks: np.ndarray, gamma: float) -> Nystroem:
+def _in_task(spark: SparkSession, x: np.ndarray, work: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """A small matrix made from a small matrix by one task: threaded solvers may not end beside the driver's JVM."""
+    held = local_table(spark, [(x.astype("float64").tobytes(),)], "m binary")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for m in batch["m"]:
+                y = work(np.frombuffer(m, "float64").reshape(x.shape))
+                yield pd.DataFrame({"m": [np.ascontiguousarray(y).tobytes()], "w": [y.shape[1]]})
+
+    row = held.mapInPandas(run, "m binary, w int").first()
+    return np.frombuffer(row["m"], "float64").reshape(-1, row["w"])
+
+
+def _inverse_root(landmarks: np.ndarray, gamma: float) -> np.ndarray:
     values, vectors = np.linalg.eigh(rbf_kernel(landmarks, landmarks, gamma))
     held = values > 1e-10 * max(values.max(initial=0.0), 1e-300)
-    return Nystroem(landmarks, vectors[:, held] / np.sqrt(values[held]), gamma)
+    return vectors[:, held] / np.sqrt(values[held])
 
 
 def fit_nystroem(df: DataFrame, columns: Sequence[str], gamma: float, *, key: str, size: int = 256, ridge: float = 1e-6, seed: int = 42) -> Nystroem:
@@ -156,7 +170,7 @@ def fit_nystroem(df: DataFrame, columns: Sequence[str], gamma: float, *, key: st
     if first.empty:
         raise ValueError("no complete row to draw landmarks from")
     even = first.to_numpy(dtype="float64")[: max(1, size // 2)]
-    solve = np.linalg.inv(rbf_kernel(even, even, gamma) + ridge * np.eye(len(even)))
+    solve = _in_task(df.sparkSession, even, lambda x: np.linalg.inv(rbf_kernel(x, x, gamma) + ridge * np.eye(len(x))))
 
     @F.pandas_udf("double")
     def left_over(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -168,7 +182,8 @@ def fit_nystroem(df: DataFrame, columns: Sequence[str], gamma: float, *, key: st
     scored = rows.withColumn("score_", left_over(*[F.col(x) for x in inside])).withColumn("turn_", F.expr("-ln(u_) / score_"))
     drawn = scored.orderBy("turn_", *inside).limit(2 * size).select(*inside).toPandas().to_numpy(dtype="float64")
     both = pd.DataFrame(np.vstack([even, drawn])).drop_duplicates().to_numpy()
-    return nystroem_from(both[:size], gamma)
+    landmarks = both[:size]
+    return Nystroem(landmarks, _in_task(df.sparkSession, landmarks, lambda x: _inverse_root(x, gamma)), gamma)
 
 
 def nystroem_map(df: DataFrame, columns: Sequence[str], fitted: Nystroem, *, keep: Sequence[str]) -> DataFrame:
