@@ -1,17 +1,18 @@
 """Approximate nearest neighbours by inner product: NN-descent and greedy graph search.
 
-Equal vectors are one node, so copies cannot crowd a neighbour list. Vectors are
-scaled to the unit sphere of one dimension more, where the largest inner product
-with a query is the nearest point. The graph starts from lists made within
-random half-space cells; each round, every node gathers the vectors of its
-neighbours and reverse neighbours in one join, compares those that have not met
-there before, and sends each the best that can enter its list. Rounds end when
-the lists have all but stopped to improve.
+Equal vectors are one node, so copies cannot crowd a neighbour list. A node's list
+holds the vectors of largest inner product with its direction, the order a query
+asks for, so vectors of very different lengths need no common scale. The graph
+starts from lists made within random half-space cells; each round, every node
+gathers the vectors of its neighbours and of the reverse neighbours nearest in
+direction in one join, compares those that have not met there before, and sends
+each the best that can enter its list. Rounds end when the lists have all but
+stopped to improve.
 
 A query starts from its own node's list and some fixed nodes, and expands the
 best unexpanded nodes of its list, hop by hop, until none is left to expand.
-Graph work uses vectors rounded to 8 bits; what a query finds is scored on the
-original vectors in double precision.
+Graph work uses vectors rounded to 16 bits, each on a scale of its own; what a
+query finds is scored on the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -49,31 +50,54 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return rows.where(F.size("v") == (length[0].n if length else 0))
 
 
-def lifted(nodes: DataFrame, longest: float, dims: int) -> DataFrame:
-    """(node, q): vectors on the unit sphere of dims + 1 dimensions, as signed bytes."""
+def rounded(v: np.ndarray) -> list[bytes]:
+    """Vectors as 16-bit integers, after the float that they are multiples of."""
+    scale = (np.maximum(np.abs(v).max(axis=1, initial=0), 1e-30) / 32_767).astype(np.float32)
+    codes = np.round(v / scale[:, None].astype(np.float64)).clip(-32_767, 32_767).astype(np.int16)
+    return [a.tobytes() + c.tobytes() for a, c in zip(scale, codes)]
 
-    def lift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dims) / longest
-            rest = np.sqrt(np.maximum(0, 1 - (v * v).sum(axis=1)))[:, None]
-            q = np.round(127 * np.hstack([v, rest]) / max(1e-9, 1.0)).clip(-127, 127).astype(np.int8)
-            yield pa.record_batch([batch.column(0), pa.array([x.tobytes() for x in q], pa.binary())], ["node", "q"])
 
-    return nodes.select("node", "v").mapInArrow(lift, "node long, q binary")
+def matrix(column) -> np.ndarray:
+    raw = np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
+    scale, codes = raw[:, :4].copy().view(np.float32), raw[:, 4:].copy().view(np.int16)
+    return codes * scale
 
 
-def matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.int8).reshape(len(column), -1).astype(np.float32)
+def directions(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=-1, keepdims=True).clip(1e-30)  # squares of very short vectors would be zero
+    return x / np.linalg.norm(x, axis=-1, keepdims=True).clip(1e-30)
+
+
+def short_form(nodes: DataFrame, longest: float, dims: int) -> DataFrame:
+    """(node, q): rounded vectors, the longest of length one."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dims) / longest
+            yield pa.record_batch([batch.column(0), pa.array(rounded(v), pa.binary())], ["node", "q"])
+
+    return nodes.select("node", "v").mapInArrow(code, "node long, q binary")
 
 
 def starting_lists(points: DataFrame, n: int, dims: int, seed: int) -> DataFrame:
     """(node, nbr, s): the best of each random cell. Cells that hold more than CELL points are dealt by hash."""
     bits = max(0, int(np.ceil(np.log2(max(1, n / (CELL // 2))))))
-    planes = np.random.default_rng(seed).standard_normal((TRIALS, bits, dims + 1)).astype(np.float32)
+    planes = np.random.default_rng(seed).standard_normal((TRIALS, bits, dims)).astype(np.float32)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(dims)
+        for batch in batches:
+            if batch.num_rows:
+                total += directions(matrix(batch.column(1).to_pylist())).sum(axis=0, dtype=np.float64)
+        yield pa.record_batch([pa.array(np.arange(dims)), pa.array(total)], ["i", "total"])
+
+    # Cells part around the mean direction, or vectors that all lean one way would share a cell.
+    sums = points.mapInArrow(add, "i long, total double").groupBy("i").agg(F.sum("total")).collect()
+    middle = np.array([t / n for _, t in sorted(tuple(r) for r in sums)], np.float32)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column(1).to_pylist()) if batch.num_rows else np.zeros((0, dims + 1), np.float32)
+            x = directions(matrix(batch.column(1).to_pylist())) - middle if batch.num_rows else np.zeros((0, dims), np.float32)
             for t in range(TRIALS):
                 code = ((x @ planes[t].T > 0) @ (1 << np.arange(bits))).astype(np.int64) if bits else np.zeros(len(x), np.int64)
                 yield pa.record_batch([pa.array(code * TRIALS + t), *batch.columns], ["cell", "node", "q"])
@@ -100,7 +124,7 @@ def best_pairs(ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     k = min(k, len(ids) - 1)
     if k < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    s = x @ x.T
+    s = directions(x) @ x.T
     np.fill_diagonal(s, -np.inf)
     near = np.argpartition(-s, k - 1, axis=1)[:, :k]
     return np.repeat(ids, k), ids[near].ravel(), np.take_along_axis(s, near, 1).ravel()
@@ -122,7 +146,7 @@ def fresh_pairs(
     rows[run, place] = np.arange(len(ids))
     real = np.arange(shape[1]) < sizes[:, None]
     around = x[rows]
-    s = around @ around.transpose(0, 2, 1)
+    s = directions(around) @ around.transpose(0, 2, 1)
     new = fresh[rows]
     s[~((new[:, :, None] | new[:, None, :]) & real[:, :, None] & real[:, None, :])] = -np.inf
     s[:, np.arange(shape[1]), np.arange(shape[1])] = -np.inf
@@ -151,11 +175,11 @@ def nn_descent(points: DataFrame, n: int, dims: int, *, rounds: int = 10, settle
     slots = max(1, n // SLOT)
 
     for _ in range(rounds):
-        both = graph.select(F.col("node").alias("centre"), F.col("nbr").alias("member"), "s", "fresh").unionAll(
-            graph.select(F.col("nbr").alias("centre"), F.col("node").alias("member"), "s", "fresh")
-        )
-        edges = both.groupBy("centre", "member").agg(F.max("s").alias("s"), F.max("fresh").alias("fresh"))
-        gathered = top(edges, "centre", GATHERED, F.desc("s"), "member")
+        listed = graph.select(F.col("node").alias("centre"), F.col("nbr").alias("member"), "fresh")
+        # Among those that list a centre, s orders by the angle to it; a long vector stands in very many lists.
+        asking = graph.select(F.col("nbr").alias("centre"), F.col("node").alias("member"), "s", "fresh")
+        asking = top(asking, "centre", GATHERED - DEGREE, F.desc("s"), "member").drop("s")
+        gathered = listed.unionByName(asking).groupBy("centre", "member").agg(F.max("fresh").alias("fresh"))
         # Around a centre without a new member all pairs have been compared.
         news = F.max("fresh").over(Window.partitionBy("centre"))
         gathered = gathered.withColumn("news", news).where("news").select("centre", "member", "fresh")
@@ -239,7 +263,7 @@ def nearest(
     found = "query_id long, rank int, vec_id long, score double"
     if not n:
         return vectors.sparkSession.createDataFrame([], found)
-    points = cut_lineage(lifted(ids, longest, dims))
+    points = cut_lineage(short_form(ids, longest, dims))
     graph = nn_descent(points, n, dims, seed=seed)
     member = cut_lineage(rows.join(ids.select("v", "node"), "v").select("node", "vec_id"))
     asked = member.where(f"vec_id % {every} = 0")
@@ -248,10 +272,9 @@ def nearest(
     seeds = [r.node for r in norms.orderBy(F.round("norm", 6).desc(), F.xxhash64("node")).limit(32).collect()]
 
     def as_query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # a query lies on the sphere's equator: the added dimension is 0
+        for batch in batches:
             v = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dims)
-            q = np.round(127 * np.hstack([v / np.linalg.norm(v, axis=1)[:, None], np.zeros((len(v), 1))])).astype(np.int8)
-            yield pa.record_batch([batch.column(0), pa.array([x.tobytes() for x in q], pa.binary())], ["node", "qq"])
+            yield pa.record_batch([batch.column(0), pa.array(rounded(directions(v)), pa.binary())], ["node", "qq"])
 
     # Copies ask once.
     wanted = ids.join(asked.select("node").distinct(), "node").select("node", "v").mapInArrow(as_query, "node long, qq binary")

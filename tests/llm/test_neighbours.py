@@ -54,3 +54,15 @@ def test_fewer_than_k(spark):
 
 def test_empty(spark):
     assert nearest(table(spark, [])).isEmpty() and nearest(table(spark, [(20, [1.0])])).isEmpty()
+
+
+@pytest.mark.parametrize("lengths", ["one long", "spread"])
+def test_recall_for_uneven_lengths(spark, lengths):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1500, 16))
+    if lengths == "spread":
+        x *= np.exp(rng.standard_normal(1500))[:, None]
+    else:
+        x[3] *= 1e4
+    rows = [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32))]
+    assert recall(nearest(table(spark, rows)).collect(), brute(rows)) >= 0.95
