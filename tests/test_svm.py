@@ -41,3 +41,18 @@ def test_no_mapped_row_is_stored_or_sent(spark, monkeypatch):
     assert seen[0].agg(F.sum(F.length("block"))).first()[0] == 600 * 5 * 8
     got = model.transform(df)
     assert got.where("prediction = y_index").count() >= 540
+
+
+def test_cubes_make_the_cubic_kernel_on_few_mapped_rows_at_a_time(spark, monkeypatch):
+    x = np.random.default_rng(1).standard_normal((50, 7))
+    phi = models.cubic_terms(7, 0.3)
+    assert np.allclose(phi(x) @ phi(x).T, (0.3 * x @ x.T) ** 3)
+    monkeypatch.setattr(svm, "HELD", 200)
+    seen = []
+
+    def watched(rows):
+        seen.append(len(rows))
+        return phi(rows)
+
+    svm.MappedSvm(tuple("abcdefg"), watched, np.ones((2, 84)), np.zeros(2)).margins(x)
+    assert sum(seen) == 50 and max(seen) == 2
