@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from surveyloom.operators.forest import Plan, Tree, bootstrap, grow, grow_whole, node_table
+from surveyloom.operators.forest import Plan, Tree, bootstrap, grow, grow_whole, node_table, packed_rows, ranked, unpacked_rows
 
 
 def table(spark, x, y, w=None):
@@ -141,3 +141,38 @@ def test_edge_tables(spark):
     assert [(r.id, r.depth, r.feature, r.threshold, r.samples, r.value) for r in nodes] == [
         (0, 0, "a", 1.5, 3, 1.0), (1, 1, None, None, 1, 0.0), (2, 1, None, None, 2, 1.0),
     ]
+
+
+def test_rows_travel_packed_and_whole():
+    rng = np.random.default_rng(4)
+    for distinct in (3, 300, 70_000):
+        x = np.column_stack([rng.permutation(70_000) % distinct - 0.1, rng.integers(0, 5, 70_000)])
+        rows = rng.choice(70_000, 500, replace=False)
+        values, codes = ranked(x)
+        raw = packed_rows(values, codes, rows)
+        assert np.array_equal(unpacked_rows(raw, 2), x[rows])
+        if distinct == 3:
+            assert len(raw) < 500 * 2 * 2
+
+
+def test_equal_splits_of_a_centred_target_go_to_the_first_feature(spark):
+    """The second feature orders the rows backwards, so its sums are made in another order."""
+    rng = np.random.default_rng(6)
+    first = rng.integers(0, 9, 500).astype(float)
+    y = rng.integers(0, 30, 500).astype(float)
+    forest = grow(table(spark, np.column_stack([first, -first, first]), y), "y", Plan(), key=F.col("k"))
+    assert {r.feature for r in node_table(forest, ["a", "b", "c"], max_depth=20).collect()} == {"a", None}
+
+
+def test_large_subtrees_meet_rows_in_bounded_groups(spark):
+    """Beyond the limit, counted unpacked, no task holds more than the limit or one subtree; results stay."""
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=(600, 3)), 2)
+    y = np.round(x[:, 0] * 4 + rng.normal(size=600))
+    forest = grow(table(spark, x, y), "y", Plan(n_trees=4, draw=True, whole=80, bins=16), key=F.col("k"))
+    df = table(spark, np.round(rng.normal(size=(900, 3)), 2), np.zeros(900)).repartition(6)
+    sent = {r.k: r.prediction for r in forest.transform(df).collect()}
+    assert forest.subtrees.agg(F.max("nodes")).first()[0] * 8 * 7 < 10_000 < forest.subtrees.agg(F.sum("nodes")).first()[0] * 8 * 7
+    for limit in (0, 10_000):
+        got = {r.k: r.prediction for r in forest.transform(df, broadcast_bytes=limit).collect()}
+        assert got.keys() == sent.keys() and all(got[i] == pytest.approx(sent[i]) for i in sent)
