@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from surveyloom.operators import features, profile, sampling
 from surveyloom.operators.ranks import exact_percentiles, group_sizes, rank_select
-from surveyloom.sources import read_table, split_xy
+from surveyloom.plans.study import engineer
+from surveyloom.sources import read_table, split_xy, survey_from_orders
 from surveyloom.sources.tables import nan_to_null
 
 
@@ -150,3 +151,10 @@ def test_correlations_are_pairwise_and_keep_digits_at_large_means(spark):
     want = x.corr()
     assert len(got) == 6 and got["flat", "a"] is None
     assert all(got[a, b] == pytest.approx(want.loc[a, b], abs=1e-9) for a, b in got if a != "flat")
+
+
+def test_wide_survey_code_is_small_enough_to_be_compiled(spark):
+    """HotSpot compiles methods of up to 8,000 bytes; no whole-stage method of the survey may be longer."""
+    orders = spark.createDataFrame([(1, 2, 3.0)], "o_orderkey long, o_custkey long, o_totalprice double")
+    engineer(survey_from_orders(orders))
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8_000
