@@ -1,8 +1,8 @@
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 
-from surveyloom.operators.boosting import exact_edges, fit_softmax_boosting
+from surveyloom.operators.boosting import _packed, exact_edges, fit_softmax_boosting, fit_squared_boosting
 from surveyloom.operators.forest import grow_whole
 
 
@@ -68,3 +68,28 @@ def test_edges(spark):
         fit_softmax_boosting(table(spark, [], []), "y", 2)
     lone = fit_softmax_boosting(table(spark, [[1.0]] * 4, [0, 0, 0, 1]), "y", 2, rounds=3)
     assert lone.transform(table(spark, [[7.0]], [0])).first().prediction == 0.0
+
+
+def test_numbers_equal_exact_trees(spark):
+    """The first tree takes the numbers whole, a later one a fifth of what is left; jobs and one task agree."""
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 9, (500, 3)).astype(float)
+    y = 3 * (x[:, 0] > 4) + x[:, 1] + rng.normal(size=500)
+    df, left, expected = table(spark, x, y).repartition(4), y.copy(), np.zeros(500)
+    for i in range(12):
+        leaf = grow_whole(x, left, np.ones(500), max_depth=3).route(x)
+        means = np.array([left[leaf == v].mean() for v in leaf])
+        expected += means * (0.2 if i else 1.0)
+        left = y - expected
+    for whole in (20_000, 0):
+        model = fit_squared_boosting(df, "y", rounds=12, bins=32, whole=whole)
+        got = [r.prediction for r in model.transform(df).orderBy("k").collect()]
+        assert np.allclose(got, expected, atol=1e-9)
+
+
+def test_rows_travel_as_blocks_of_bin_numbers(spark):
+    """A pass reads a few packed rows: one byte a feature, however many rows the table has."""
+    x = np.random.default_rng(2).normal(size=(1000, 3))
+    rows = table(spark, x, [0] * 1000).select(vector_to_array("features").alias("x"), "y").repartition(2)
+    blocks = _packed(rows, 3, [np.array([-0.5, 0.5])] * 3, np.zeros(2)).collect()
+    assert len(blocks) == 2 and sum(len(b.codes) for b in blocks) == 3000 and sum(len(b.scores) for b in blocks) == 16_000
