@@ -106,3 +106,18 @@ def test_report_with_a_class_never_predicted(spark):
 
 def test_leaderboard_of_no_models_is_empty(spark):
     assert report.model_leaderboard(evaluate.clustering_rows(spark, {}), "Regression").count() == 0
+
+
+def test_cubic_sums_hold_every_moment_once(spark):
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(300, 4)), rng.integers(0, 2, 300)
+    phi = K.Cubic(4)
+    assert phi.size == 1 + 35 + 210  # not 35 · 35: C(4 + 6, 6) moments
+    assert np.allclose(phi(x) @ phi(x).T, (x @ x.T / 4 + 1) ** 3)
+    df = spark.createDataFrame([(int(c), *map(float, v)) for c, v in zip(y, x)], "y int, a double, b double, c double, d double")
+    got = K.class_sums(df, list("abcd"), "y", {"cubic": phi, "plain": lambda v: phi(v)})
+    for c in (0, 1):
+        z = phi(x[y == c])
+        for name in ("cubic", "plain"):
+            assert got[name][c].n == len(z)
+            assert np.allclose(got[name][c].total, z.sum(axis=0)) and np.allclose(got[name][c].gram, z.T @ z)
