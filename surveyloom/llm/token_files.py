@@ -25,10 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from surveyloom.functions import quote
-from surveyloom.llm.bpe import CHUNK, ODD
+from surveyloom.llm.bpe import ODD, byte_characters
+from surveyloom.llm.common import code_points, joined_ids, parts_of
 
 #: The coder's format: states stay in [2^31, 2^63), frequencies add up to 2^18.
 LOW, SCALE_BITS = np.uint64(1 << 31), 18
@@ -37,7 +38,9 @@ LANES, BLOCK, SPACING = 32, 1 << 16, 512
 SHARD_IDS = 2_000_000
 SHARDS_PER_FILE = 8
 #: Distinct chunks a task remembers before it starts afresh, and code points of texts cut up at a time.
-REMEMBERED, SLICE = 500_000, 500_000
+REMEMBERED, SLICE = 500_000, 2_000_000
+#: New chunks that go to the library in one text.
+TOGETHER = 1000
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -81,7 +84,8 @@ def encode_shard(ids: np.ndarray, *, lanes: int = LANES, block: int = BLOCK, spa
         full = (state >= f << room) & live
         emitted[t], words[t] = full, state & np.uint64(0xFFFFFFFF)
         moved = np.where(full, state >> np.uint64(32), state)
-        state = np.where(live, ((moved // f) << np.uint64(SCALE_BITS)) + moved % f + start[ids_t], state)
+        times = moved // f
+        state = np.where(live, (times << np.uint64(SCALE_BITS)) + (moved - times * f) + start[ids_t], state)
         if t % spacing == 0:
             marks[t // spacing] = state
     sent = emitted.sum(axis=2)  # (steps, blocks)
@@ -144,15 +148,44 @@ def decode_shard(shard: dict, *, lanes: int = LANES, block: int = BLOCK, spacing
 
 #: Chunks that can stand on a line of their own: white space would join the line end.
 LINE = re.compile(r" ?\S+")
+#: Classes of code points: letters and digits, other signs, the apostrophe (contractions start with it), blanks,
+#: other white space, the end of a text.
+WORD, SIGN, APOSTROPHE, BLANK, SPACE, END = range(6)
+
+
+def classes() -> np.ndarray:
+    """The class of every code point, as Python's patterns (and ``CHUNK``) see it."""
+    everything = np.arange(0x110000, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    table = np.full(0x110000, SIGN, np.uint8)
+    for pattern, kind in ((r"[^\W_]+", WORD), ("'", APOSTROPHE), (r"\s+", SPACE), (" ", BLANK)):
+        for run in re.finditer(pattern, everything):
+            table[run.start() : run.end()] = kind
+    return table
+
+
+def cuts(kinds: np.ndarray) -> np.ndarray:
+    """Places before which the splitter cuts for sure: around signs, before white space and around its last character.
+
+    A last blank stays with the word behind it; what follows an apostrophe may belong to it.
+    """
+    solid, white = kinds < BLANK, (kinds == BLANK) | (kinds == SPACE)
+    end, word, sign = kinds == END, kinds == WORD, kinds == SIGN
+    cut = np.ones(len(kinds) + 1, bool)
+    inner = cut[1:-1]
+    inner[:] = white[1:] & solid[:-1] | (kinds[:-1] == SPACE) & solid[1:] | end[1:] | end[:-1]
+    inner |= word[:-1] & solid[1:] & ~word[1:] | sign[:-1] & word[1:]
+    inner[:-1] |= white[1:-1] & solid[2:]
+    return np.flatnonzero(cut)
 
 
 class Chunks(dict):
     """Chunk of text → its ids as bytes; each distinct chunk is encoded once per task by the library.
 
-    The tokenizer cuts between chunks (see ``bpe.CHUNK``), so a text gets its chunks'
+    The tokenizer cuts between chunks (see ``cuts``), so a text gets its chunks'
     ids. Texts with added tokens, or with characters whose class is not sure, are
     encoded whole. New chunks go to the library as lines of one text, and its line
-    ends part their ids again.
+    ends part their ids again; runs of letters, which the splitter leaves whole,
+    pass it by and go to the library's merges in byte characters.
     """
 
     def __init__(self, path: str):
@@ -167,22 +200,64 @@ class Chunks(dict):
         if len(line_end) != 1 or self.whole("a\n b\nc").tolist().count(line_end[0]) != 2:
             raise ValueError("the tokenizer does not keep line ends apart")
         self.line_end = int(line_end[0])
+        self.kinds = classes()
+        self.shown = code_points("".join(byte_characters()))
+        self.merges = Tokenizer(self.library.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(byte_characters()[ord("\n")])
+        tokens = self.merges.get_vocab()
+        self.sizes = np.zeros(max(tokens.values()) + 1, np.int64)
+        self.sizes[list(tokens.values())] = list(map(len, tokens))
+        some = ["Chunk", " of", " é漢"]
+        if not set(byte_characters()) <= set(tokens) or self.run(some) != [self.whole(x).tobytes() for x in some]:
+            raise ValueError("the tokenizer is not of the byte-level kind")
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
+    def lines(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that can stand on lines of their own."""
+        ids = self.whole("\n".join(chunks))
+        edges = [-1, *np.flatnonzero(ids == self.line_end).tolist(), len(ids)]
+        if len(edges) != len(chunks) + 1:
+            raise AssertionError("line ends and chunks do not match")
+        raw = ids.tobytes()
+        return [raw[4 * low + 4 : 4 * high] for low, high in zip(edges, edges[1:])]
+
+    def run(self, chunks: list[str]) -> list[bytes]:
+        """Ids of runs of letters with or without a blank before them."""
+        text = np.frombuffer("\n".join(chunks).encode(), np.uint8)
+        shown = self.shown[text].tobytes().decode("utf-32-le")
+        ids = np.array(self.merges.encode_batch_fast([shown], add_special_tokens=False)[0].ids, np.uint32)
+        # The line ends are gone; tokens are as long as the bytes they stand for.
+        ends = np.append(np.flatnonzero(text == ord("\n")), len(text)) - np.arange(len(chunks))
+        reached = np.append(0, np.cumsum(self.sizes[ids]))
+        edges = np.searchsorted(reached, ends)
+        if reached[-1] != ends[-1] or (reached[edges] != ends).any():
+            raise AssertionError("tokens and chunks do not match")
+        raw, edges = ids.tobytes(), [0, *(4 * edges).tolist()]
+        return [raw[low:high] for low, high in zip(edges, edges[1:])]
+
     def learn(self, chunks: Iterable[str]) -> None:
-        fresh = [c for c in chunks if c not in self]
-        lines = [c for c in fresh if LINE.fullmatch(c)]
-        self.update((c, self.whole(c).tobytes()) for c in fresh if not LINE.fullmatch(c))
-        for k in range(0, len(lines), 5000):
-            part = lines[k : k + 5000]
-            ids = self.whole("\n".join(part))
-            edges = [-1, *np.flatnonzero(ids == self.line_end).tolist(), len(ids)]
-            raw = ids.tobytes()
-            self.update((chunk, raw[4 * low + 4 : 4 * high]) for chunk, low, high in zip(part, edges, edges[1:]))
-            if len(edges) != len(part) + 1:
-                raise AssertionError("line ends and chunks do not match")
+        runs, lines = [], []
+        for c in chunks:
+            if (c[1:] if c[0] == " " else c).isalpha():
+                runs.append(c)
+            elif LINE.fullmatch(c):
+                lines.append(c)
+            else:
+                self[c] = self.whole(c).tobytes()
+        for some, encode in ((runs, self.run), (lines, self.lines)):
+            for k in range(0, len(some), TOGETHER):
+                self.update(zip(some[k : k + TOGETHER], encode(some[k : k + TOGETHER])))
+
+    def known(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks; new ones are learnt."""
+        found = list(map(self.get, chunks))
+        fresh = [k for k, raw in enumerate(found) if raw is None]
+        self.learn([chunks[k] for k in fresh])
+        for k in fresh:
+            found[k] = self[chunks[k]]
+        return found
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of every text; ``SLICE`` code points are cut up at a time."""
@@ -196,13 +271,21 @@ class Chunks(dict):
     def encode_slice(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self) > REMEMBERED:
             self.clear()
-        cut = [None if self.added.search(x) or ODD.search(x) else CHUNK.findall(x) for x in texts]
-        self.learn(set().union(*(c for c in cut if c)))
-        for text, chunks in zip(texts, cut):
-            if chunks is None:
-                yield self.whole(text)
-            else:
-                yield np.frombuffer(b"".join(map(self.__getitem__, chunks)), np.uint32)
+        plain = [not (self.added.search(x) or ODD.search(x)) for x in texts]
+        own = [x for x, ok in zip(texts, plain) if ok]
+        # A line end closes each text; as a chunk of its own it is dropped again.
+        text = "".join([x + "\n" for x in own])
+        points = code_points(text)
+        ends = np.cumsum([len(x) + 1 for x in own], dtype=np.int64)
+        kinds = self.kinds[points]
+        kinds[ends - 1] = END
+        edges = cuts(kinds) if own else np.zeros(1, np.int64)
+        flat, at = joined_ids(parts_of(text, points, edges), self.known)
+        last = at[np.searchsorted(edges, ends - 1)]
+        lows = iter(np.append(0, last + 1).tolist())
+        highs = iter(last.tolist())
+        for x, ok in zip(texts, plain):
+            yield flat[next(lows) : next(highs)] if ok else self.whole(x)
 
 
 SHARD_SCHEMA = (

@@ -58,6 +58,27 @@ def test_chunks_equal_library(library):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_cuts_are_the_splitters(library):
+    import random
+
+    rng, kinds = random.Random(3), T.classes()
+    signs = ["ab", "the", " ", " ", "  ", "\n", "\t", "\xa0", "9", "é", "漢", "'s", "'", ".", ",", "_", "(", "²", "🙂", "\u0301"]
+    for _ in range(2000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(1, 25)))
+        got = T.cuts(np.append(kinds[T.code_points(text)], T.END))[:-2].tolist()
+        assert set(got) <= {low for _, (low, _) in library.pre_tokenizer.pre_tokenize_str(text)}, repr(text)
+        if text[0].isalpha():
+            assert len(got) >= len(text.split()), repr(text)
+
+
+def test_runs_of_letters_pass_the_splitter_by(library):
+    chunks = T.Chunks(PATH)
+    texts = ["Words of lettérs " * 50 + "漢字 ßtraße", "", "one"]
+    assert [len(ids) for ids in chunks.encode([""])] == [0]
+    chunks.whole = chunks.lines = None  # the ways through the splitter
+    assert [ids.tolist() for ids in chunks.encode(texts)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_files(spark, make, corpus, library, tmp_path, monkeypatch):
     rows = [*corpus, (None, "no id")]
     T.write_token_files(make(rows), PATH, str(tmp_path / "t"), partitions=5)
