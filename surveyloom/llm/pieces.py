@@ -3,9 +3,10 @@
 Adjacent symbols whose join is a piece wait in an agenda ordered by score (ties:
 the leftmost); the best pair is merged until none is left. A merge never crosses
 a boundary that no piece of the vocabulary spans, so a text falls into segments
-and each distinct segment is worked out once per task. The new words of a slice
-of texts share their agendas: a row of pair ranks per word, whose least entries
-are merged for all words at once; long or unusual ones keep a heap of their own. Symbols that are no piece
+and each distinct segment is worked out once per task. A slice of texts is cut in
+numpy and its distinct segments are found by Arrow. Its new words share their
+agendas: a row of pair ranks per word, whose least entries are merged for all words
+at once; long or unusual ones keep a heap of their own. Symbols that are no piece
 become their UTF-8 byte pieces. Normalisation and decoding are the library's.
 
 Every slice of an Arrow batch is also encoded by the library; a difference raises.
@@ -27,13 +28,13 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveyloom.llm.common import texts_of
+from surveyloom.llm.common import code_points, joined_ids, parts_of, texts_of
 
 SPACE = "▁"
 #: Distinct segments a task remembers before it starts afresh.
 REMEMBERED = 600_000
 #: Code points of the texts that are encoded and checked at a time.
-SLICE = 500_000
+SLICE = 2_000_000
 #: Words up to this length share agendas, this many words at a time.
 SHORT, TOGETHER = 30, 4096
 #: Rank of a pair that makes no piece.
@@ -55,13 +56,14 @@ class Agenda(dict):
         self.bytes = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.unknown, self.fallback = lib.unk_id(), lib.is_byte(self.bytes[0])
         self.end = lib.eos_id()
-        self.shown = [b"%d" % i for i in range(n)]
+        self.shown = pa.array([b"%d " % i for i in range(n)], pa.large_binary())
         # A text can be cut before a space mark that follows another character if no piece spans that place,
         # and around a line end if no longer piece holds one.
-        self.crosses = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.cost)
-        lines = any("\n" in p for p in self.cost)
+        crossing = re.compile(f"[^{SPACE}]{SPACE}")
+        self.crosses = any(map(crossing.search, self.cost))
+        self.lines = any("\n" in p for p in self.cost)
         self.cut = re.compile(
-            r"(?s).+" if self.crosses else f"{SPACE}*[^{SPACE}]+|{SPACE}+" if lines else f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
+            r"(?s).+" if self.crosses else f"{SPACE}*[^{SPACE}]+|{SPACE}+" if self.lines else f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"
         )
         self.prepare_ranks()
 
@@ -191,34 +193,60 @@ class Agenda(dict):
             unknown_before = known is None
         return ids
 
+    def known(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct segments; a word after one space mark is remembered without it."""
+        words = [p[1:] if p[0] == SPACE and p[1:2] != SPACE else None for p in parts]
+        found = list(map(self.get, words))
+        fresh = [k for k, raw in enumerate(found) if raw is None]
+        self.learn({words[k] for k in fresh} - {None})
+        for k in fresh:
+            found[k] = self.segment(parts[k]) if words[k] is None else self[words[k]]
+        return found
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of every text with the end id, as 32-bit numbers."""
         if len(self) > REMEMBERED:
             self.clear()
-        split = [self.library.normalize(x).split(SPACE) for x in texts]
-        # Texts of single space marks, the first one in front, are their words; others are cut piece by piece.
-        plain = [not self.crosses and not words[0] and words.count("") == 1 for words in split]
-        self.learn(set().union(*(words for words, ok in zip(split, plain) if ok)))
+        split = [self.library.normalize(x) for x in texts]
+        text = "".join(split)
+        bounds = np.append(0, np.cumsum([len(x) for x in split], dtype=np.int64))
+        points = code_points(text)
+        cut = np.zeros(len(points) + 1, bool)
+        cut[bounds] = True
+        # The places at which ``cut`` parts a text.
+        if not self.crosses:
+            mark = points == ord(SPACE)
+            cut[1:-1] |= mark[1:] & ~mark[:-1]
+            if not self.lines:
+                line_end = points == ord("\n")
+                cut[1:-1] |= line_end[1:] | line_end[:-1]
+        edges = np.flatnonzero(cut)
+        flat, at = joined_ids(parts_of(text, points, edges), self.known)
+        places = at[np.searchsorted(edges, bounds)].tolist()
         end = array("I", [self.end]).tobytes()
-        for words, ok in zip(split, plain):
-            if ok:
-                del words[0]
-                yield b"".join(map(self.__getitem__, words)) + end
-            else:
-                yield b"".join([self.segment(part) for part in self.cut.findall(SPACE.join(words))]) + end
+        for low, high in zip(places, places[1:]):
+            yield flat[low:high].tobytes() + end
+
+    def decimals(self, raws: list[bytes]) -> Iterator[bytes]:
+        """The decimal form of the ids of every text, joined by blanks."""
+        written = self.shown.take(pa.array(np.frombuffer(b"".join(raws), np.uint32)))
+        offsets, text = np.frombuffer(written.buffers()[1], np.int64), memoryview(written.buffers()[2])
+        places = offsets[np.append(0, np.cumsum([len(x) // 4 for x in raws], dtype=np.int64))].tolist()
+        for low, high in zip(places, places[1:]):
+            yield bytes(text[low : high - 1])
 
     def checked(self, texts: list[str]) -> Iterator[tuple[list[int], bytes]]:
         """(ids, their decimal form joined by blanks) of every text; raises where the library encodes another way."""
         start = size = 0
-        shown = self.shown.__getitem__
         for k, text in enumerate(texts):
             size += len(text)
             if size >= SLICE or k == len(texts) - 1:
                 some = texts[start : k + 1]
-                for own, ids in zip(self.encode(some), self.library.encode(some, add_eos=True, num_threads=1)):
-                    if array("I", ids).tobytes() != own:
+                own = list(self.encode(some))
+                for raw, shown, ids in zip(own, self.decimals(own), self.library.encode(some, add_eos=True, num_threads=1)):
+                    if array("I", ids).tobytes() != raw:
                         raise AssertionError("the agenda's ids differ from the library's")
-                    yield ids, b" ".join(map(shown, ids))
+                    yield ids, shown
                 start, size = k + 1, 0
 
 

@@ -44,6 +44,15 @@ def test_long_segments(library):
     assert all(agenda[w] == agenda.segment("▁" + w) for w in words)
 
 
+def test_segments_of_odd_texts_are_worked_out_once(library):
+    agenda, calls = Agenda(MODEL), []
+    segment = agenda.segment
+    agenda.segment = lambda part: calls.append(part) or segment(part)
+    texts = ["two  blanks and\nlines " * 300, "", "  two  ", "▁lines\n\n", "two  blanks"]
+    assert [ids for ids, _ in agenda.checked(texts)] == library.encode(texts, add_eos=True)
+    assert len(calls) == len(set(calls)) < 20
+
+
 def test_ids_and_texts(make, corpus, library):
     got = {(r.doc_id, tuple(r.ids), r.decoded) for r in encoded(make(corpus), MODEL).collect()}
     expected = [(i, library.encode(t or "", add_eos=True)) for i, t in corpus]
