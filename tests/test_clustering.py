@@ -7,6 +7,7 @@ from surveyloom.operators import cluster, reduce
 from surveyloom.operators.cluster.density import connected_components
 from surveyloom.operators.cluster.fuzzy import membership_columns
 from surveyloom.operators.cluster.hierarchical import ward_merge
+from surveyloom.plans.unsupervised import cluster_scatter
 
 
 def table(spark, x):
@@ -194,3 +195,12 @@ def test_blocks_hold_every_complete_row_and_costs_are_exact(spark):
     assert cluster.partition.best_kmeans(few, ["a", "b"], [3], restarts=2)[3].cost == 0
     shares = [cluster.fuzzy.memberships(x[:50], x[:3], m) for m in (2, 2 + 1e-12)]
     assert np.allclose(*shares) and np.array_equal(shares[0][:3].argmax(axis=1), [0, 1, 2])
+
+
+def test_cluster_scatter_holds_every_row(spark):
+    """More rows than plots are capped at: each is there once with its label."""
+    n = 60_000
+    df = spark.range(n).selectExpr("id as resp_id", "cast(id % 7 as double) as a", "cast(id * 13 % 11 as double) as b", "0 as phq9_total")
+    labels = df.selectExpr("resp_id", "cast(resp_id % 3 as int) - 1 as KMeans")
+    got = cluster_scatter(df, labels).selectExpr("resp_id", "label = element_at(array('Noise', 'Cluster 0', 'Cluster 1'), cast(resp_id % 3 as int) + 1) as right")
+    assert got.count() == got.select("resp_id").distinct().count() == got.where("right").count() == n
