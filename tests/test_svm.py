@@ -56,3 +56,25 @@ def test_cubes_make_the_cubic_kernel_on_few_mapped_rows_at_a_time(spark, monkeyp
 
     svm.MappedSvm(tuple("abcdefg"), watched, np.ones((2, 84)), np.zeros(2)).margins(x)
     assert sum(seen) == 50 and max(seen) == 2
+
+
+def test_folded_maps_give_the_margins_and_gradients_of_the_mapped_rows():
+    rng = np.random.default_rng(2)
+    for width in (1, 2, 3, 18):
+        x, pull = rng.standard_normal((40, width)), rng.standard_normal((40, 5))
+        phi = models.cubic_terms(width, 0.3)
+        z = phi(x)
+        weights, base = rng.standard_normal((5, z.shape[1])), phi.base(x)
+        assert np.allclose(phi.times(base, phi.folded(weights)), z @ weights.T)
+        assert np.allclose(phi.unfolded(phi.back(base, pull)), pull.T @ z)
+
+
+def test_a_folding_map_is_not_worked_out_to_predict():
+    class Unmapped(models.Cubes):
+        def __call__(self, x):
+            raise AssertionError("mapped")
+
+    terms = models.cubic_terms(3, 0.5)
+    weights, x = np.ones((2, 10)), np.random.default_rng(3).standard_normal((20, 3))
+    got = svm.MappedSvm(tuple("abc"), Unmapped(terms.positions, terms.coefficient), weights, np.zeros(2)).margins(x)
+    assert np.allclose(got, terms(x) @ weights.T)
