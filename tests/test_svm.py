@@ -62,11 +62,11 @@ def test_folded_maps_give_the_margins_and_gradients_of_the_mapped_rows():
     rng = np.random.default_rng(2)
     for width in (1, 2, 3, 18):
         x, pull = rng.standard_normal((40, width)), rng.standard_normal((40, 5))
-        phi = models.cubic_terms(width, 0.3)
-        z = phi(x)
-        weights, base = rng.standard_normal((5, z.shape[1])), phi.base(x)
-        assert np.allclose(phi.times(base, phi.folded(weights)), z @ weights.T)
-        assert np.allclose(phi.unfolded(phi.back(base, pull)), pull.T @ z)
+        for phi in (models.cubic_terms(width, 0.3), models.Nystroem(x[:9], rng.standard_normal((9, 6)), 0.3)):
+            z = phi(x)
+            weights, base = rng.standard_normal((5, z.shape[1])), phi.base(x)
+            assert np.allclose(phi.times(base, phi.folded(weights)), z @ weights.T)
+            assert np.allclose(phi.unfolded(phi.back(base, pull)), pull.T @ z)
 
 
 def test_a_folding_map_is_not_worked_out_to_predict():
