@@ -3,7 +3,10 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from surveyloom.operators.forest import Plan, Tree, bootstrap, grow, grow_whole, node_table, packed_rows, ranked, unpacked_rows
+from surveyloom.operators import forest as forest_module
+from surveyloom.operators.forest import (
+    Plan, Tree, allowed, bootstrap, grow, grow_whole, joined_rows, node_table, packed_rows, ranked, unpacked_rows,
+)
 
 
 def table(spark, x, y, w=None):
@@ -176,3 +179,48 @@ def test_large_subtrees_meet_rows_in_bounded_groups(spark):
     for limit in (0, 10_000):
         got = {r.k: r.prediction for r in forest.transform(df, broadcast_bytes=limit).collect()}
         assert got.keys() == sent.keys() and all(got[i] == pytest.approx(sent[i]) for i in sent)
+
+
+def test_nodes_look_at_their_drawn_features_and_are_dealt_over_tasks(spark, monkeypatch):
+    """Upper nodes count cells of few features, split as with all in view, and no one task weighs them all."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 12, (6_000, 5)).astype(float)
+    x[:, 1] = np.where(x[:, 0] > 6, x[:, 1], 3.0)  # varies only where the first feature is large
+    x[:, 4] = 1.0
+    y = ((x[:, 0] + x[:, 2] + rng.integers(0, 6, 6_000)) // 8).clip(0, 2)
+    looked, hands, kept = [], [], forest_module._best_splits
+
+    def watched(table, uppers, views, *more):
+        found = kept(table, uppers, views, *more)
+        looked.extend(map(len, views.values()))
+        hands.append((len(views), found.rdd.getNumPartitions()))
+        return found
+
+    monkeypatch.setattr(forest_module, "_best_splits", watched)
+    plan = Plan(n_trees=6, draw=True, max_features=2, classes=3, seed=5, whole=300)
+    grown = grow(table(spark, x, y), "y", plan, key=F.col("k"))
+    assert set(looked) >= {2, 4} and np.mean(looked) < 2.5
+    assert all(n == min(v, 4 * spark.sparkContext.defaultParallelism) for v, n in hands) and max(hands)[0] > 8
+    uid = {r.k: r.u for r in spark.range(6_000).selectExpr("id as k", "xxhash64(id) as u").collect()}
+    uid = np.array([uid[i] for i in range(6_000)])
+    for t, upper in enumerate(grown.uppers):
+        of = {0: np.flatnonzero(bootstrap(uid, t, 5) > 0)}
+        for node in sorted(upper.mean):
+            rows, f = of[node], upper.feature[node]
+            assert upper.mean[node][0] == len(rows)
+            varies = x[rows].min(axis=0) < x[rows].max(axis=0)
+            if f < 0:
+                assert len(set(y[rows])) == 1 or not varies.any()
+                continue
+            assert allowed(np.array([upper.path[node]], np.uint64), varies[None], 2, 5)[0, f]
+            right = x[rows, f] > upper.threshold[node]
+            of[upper.left[node]], of[upper.left[node] + 1] = rows[~right], rows[right]
+
+
+def test_joined_rows_are_those_of_each_part():
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 40, (500, 3)).astype(float)
+    x[:, 2] /= 7
+    parts = [packed_rows(*ranked(some), np.arange(0, len(some), 2)) for some in (x[:200], x[200:])]
+    values, codes = joined_rows(parts, 3)
+    assert np.array_equal(np.stack([v[c] for v, c in zip(values, codes)], axis=1), np.concatenate([x[:200:2], x[200::2]]))
