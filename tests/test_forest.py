@@ -224,3 +224,13 @@ def test_joined_rows_are_those_of_each_part():
     parts = [packed_rows(*ranked(some), np.arange(0, len(some), 2)) for some in (x[:200], x[200:])]
     values, codes = joined_rows(parts, 3)
     assert np.array_equal(np.stack([v[c] for v, c in zip(values, codes)], axis=1), np.concatenate([x[:200:2], x[200::2]]))
+
+
+@pytest.mark.parametrize("classes", [0, 3])
+def test_many_ranked_rows_summed_feature_by_feature_equal_brute_force(classes):
+    rng = np.random.default_rng(11)
+    x = np.round(rng.normal(size=(600, 3)), 1)
+    x[:, 2] = np.where(x[:, 0] > 0, x[:, 2], 0.5)  # may not be used where it does not vary
+    y = rng.integers(0, 3, 600).astype(float) if classes else np.round(4 * x[:, 0] + rng.normal(size=600))
+    w = rng.integers(1, 4, 600).astype(float)
+    assert same(nested(grow_whole(ranked(x), y, w, classes=classes, max_depth=6)), brute(x, y, w, classes, 6))
